@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from talentgrid import vocab
@@ -9,17 +11,21 @@ from talentgrid.functions import experience, levels
 from talentgrid.functions.lookup import lookup
 
 Rules = dict[str, Column]
+#: category -> terms; a dimension of a thousand words or so, held in the plan as a literal
+Vocabulary = Mapping[str, Sequence[str]]
 
 
-def _list_rules(category: str, skills: str) -> Rules:
-    """Rules on the skill and certificate lists; ``known_*`` come from the vocabulary."""
+def _list_rules(category: str, skills: str, known_skills: Vocabulary, known_certificates: Vocabulary) -> Rules:
+    """Rules on the skill and certificate lists."""
     fewest = lookup({name: low for name, (low, _) in vocab.CERTIFICATE_RANGES.items()}, F.col(category))
     most = lookup({name: high for name, (_, high) in vocab.CERTIFICATE_RANGES.items()}, F.col(category))
     return {
         "certificate count in range": F.size("certifications").between(fewest, most),
         "skill count exact": F.size(skills) == lookup(vocab.SKILL_COUNTS, F.col(category)),
-        "skills in vocabulary": F.size(F.array_except(skills, "known_skills")) == 0,
-        "certificates in vocabulary": F.size(F.array_except("certifications", "known_certificates")) == 0,
+        "skills in vocabulary": F.size(F.array_except(F.col(skills), lookup(known_skills, F.col(category)))) == 0,
+        "certificates in vocabulary": F.size(
+            F.array_except(F.col("certifications"), lookup(known_certificates, F.col(category)))
+        ) == 0,
     }
 
 
@@ -32,12 +38,12 @@ def _level_rules(level: str, salary: str, years: str) -> Rules:
     }
 
 
-def post_rules() -> Rules:
+def post_rules(skills: Vocabulary, certificates: Vocabulary) -> Rules:
     """Rule name -> condition on a post; NULL where the rule says nothing about a row."""
     days = F.datediff("deadline", "post_date")
     return {
         "deadline after posting": days.between(*vocab.DEADLINE_DAYS),
-        **_list_rules("category", "skills_needed"),
+        **_list_rules("category", "skills_needed", skills, certificates),
         **_level_rules("detailed_experience_level", "salary", "years_experience"),
         "employment allowed for level": F.array_contains(
             levels.allowed_employment(levels.seniority_from_title(F.col("job_title"))),
@@ -49,14 +55,14 @@ def post_rules() -> Rules:
     }
 
 
-def candidate_rules() -> Rules:
+def candidate_rules(skills: Vocabulary, certificates: Vocabulary) -> Rules:
     """Rule name -> condition on a candidate."""
     text = F.col("experience_range")
     fewest, most = experience.employer_range(experience.years_for_employers(text))
     since = vocab.RULE_YEAR - F.col("graduation_year") - experience.most_years(text)
     birth = F.col("date_of_birth").try_cast("int")
     return {
-        **_list_rules("job_category", "skills"),
+        **_list_rules("job_category", "skills", skills, certificates),
         **_level_rules("seniority", "current_salary", "experience_range"),
         "employers in range": F.when(
             text.isNotNull(), F.size("previous_companies").between(fewest, most)
@@ -89,23 +95,10 @@ def _report(records: DataFrame, rules: Rules, source: str) -> DataFrame:
     return counts.select(F.lit(source).alias("source"), F.inline(rows))
 
 
-def with_vocabulary(records: DataFrame, category: str, vocabulary: DataFrame) -> DataFrame:
-    """Attach ``known_skills`` and ``known_certificates`` of a (category, kind, term) vocabulary.
-
-    A vocabulary is a dimension (dozens of terms for each of twenty categories) given
-    by the caller, not data that grows with the records; Catalyst sizes the join.
-    """
-    known = vocabulary.groupBy(F.col("category").alias(category)).agg(
-        F.collect_set(F.when(F.col("kind") == "skill", F.col("term"))).alias("known_skills"),
-        F.collect_set(F.when(F.col("kind") == "certificate", F.col("term"))).alias("known_certificates"),
-    )
-    return records.join(known, category, "left")
-
-
-def conformity_report(posts: DataFrame, candidates: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def conformity_report(
+    posts: DataFrame, candidates: DataFrame, skills: Vocabulary, certificates: Vocabulary
+) -> DataFrame:
     """Pass and fail counts of every rule over both tables."""
-    return _report(with_vocabulary(posts, "category", vocabulary), post_rules(), "job_posts").unionAll(
-        _report(
-            with_vocabulary(candidates, "job_category", vocabulary), candidate_rules(), "candidate_info"
-        )
+    return _report(posts, post_rules(skills, certificates), "job_posts").unionAll(
+        _report(candidates, candidate_rules(skills, certificates), "candidate_info")
     )
