@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from talentgrid import vocab
 from talentgrid.functions.experience import most_years
+from talentgrid.functions.lookup import literal_list
 
 EXPERIENCE_TEXTS = [
     "0 years", "0-1 years", "1-2 years", "2-3 years", "3-5 years", "4-6 years",
@@ -43,7 +44,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _pick(words: list[str], index: Column) -> Column:
-    return F.get(F.array(*map(F.lit, words)), index.cast("int"))
+    return F.get(literal_list(words), index.cast("int"))
 
 
 def _series(first: Column, step: int, count: Column, pool: int, word: str) -> Column:
@@ -168,3 +169,14 @@ def application_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         moment.alias("timestamp"),
         F.when(event % 211 != 0, _pick(vocab.FAMILIES, user % 14)).alias("job_post_family_group"),
     )
+
+
+#: the vocabulary of category number c lacks the last c % 5 skills and c % 3 certificates
+SKILL_VOCABULARY = {
+    category: [f"{word}_{i}" for i in range(SKILL_POOL - at % 5) for word in ("skill", "Skill")]
+    for at, category in enumerate(vocab.CATEGORIES)
+}
+CERT_VOCABULARY = {
+    category: [f"{word}_{i}" for i in range(CERT_POOL - at % 3) for word in ("cert", "Cert")]
+    for at, category in enumerate(vocab.CATEGORIES)
+}

@@ -58,6 +58,13 @@ def sample(options: Column, size: Column, *key: Column) -> Column:
     return F.transform(chosen, lambda entry: entry["item"])
 
 
+def keyed_id(*key: Column) -> Column:
+    """An identifier in UUID form that a replay gives again."""
+    text = digest(*key)
+    cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
+    return F.concat_ws("-", *[F.substring(text, start, size) for start, size in cuts])
+
+
 def seed(hex_digest: Column, index: int = 0) -> Column:
     """A seed in 1 .. DRAW_PRIME-1 for a record or a purpose."""
     return lane(hex_digest, index) % (DRAW_PRIME - 1) + 1

@@ -8,23 +8,33 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
-def literal_table(spark: SparkSession, columns: Sequence[str], rows: Iterable[Sequence[object]]) -> DataFrame:
-    """A small constant table, held in the plan itself (no Python rows, no file)."""
+def constant(value: object) -> str:
+    """SQL text of a constant: text, number, NULL or a list of these."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, (list, tuple)):
+        return f"array({', '.join(map(constant, value))})"
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    return str(value)
+
 
-    def cell(value: object) -> Column:
-        return F.array(*map(F.lit, value)) if isinstance(value, (list, tuple)) else F.lit(value)
+def literal_list(values: Sequence[object]) -> Column:
+    """A constant array, parsed in one go instead of value by value."""
+    return F.expr(constant(list(values)))
 
-    structs = [
-        F.struct(*[cell(value).alias(name) for name, value in zip(columns, row)]) for row in rows
-    ]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+
+def literal_table(spark: SparkSession, columns: Sequence[str], rows: Iterable[Sequence[object]]) -> DataFrame:
+    """A small constant table, held in the plan itself (no Python rows, no file)."""
+    values = ", ".join(f"({', '.join(map(constant, row))})" for row in rows)
+    names = ", ".join(f"`{name}`" for name in columns)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
 
 
 def literal_map(table: Mapping[str, object]) -> Column:
     """A constant map; Catalyst folds it, so a row pays for the lookup only."""
-    cells = [F.lit(cell) if not isinstance(cell, (list, tuple)) else F.array(*map(F.lit, cell))
-             for pair in table.items() for cell in pair]
-    return F.create_map(*cells)
+    return F.expr(f"map({', '.join(constant(cell) for pair in table.items() for cell in pair)})")
 
 
 def lookup(table: Mapping[str, object], key: Column, default: object = None) -> Column:
@@ -32,8 +42,7 @@ def lookup(table: Mapping[str, object], key: Column, default: object = None) ->
     found = F.try_element_at(literal_map(table), key)
     if default is None:
         return found
-    fallback = F.array(*map(F.lit, default)) if isinstance(default, (list, tuple)) else F.lit(default)
-    return F.coalesce(found, fallback)
+    return F.coalesce(found, F.expr(constant(default)))
 
 
 def contains_any(text: Column, words: Iterable[str]) -> Column:

@@ -88,6 +88,39 @@ def draw_continent(posts: DataFrame, key: str, industry: str) -> DataFrame:
     )
 
 
+def draw_salary(posts: DataFrame, key: str, level: str) -> DataFrame:
+    """Add the salary band of a level text and ``drawn_salary`` from within it."""
+    banded = salary_band_columns(posts, level)
+    digest = draws.digest(F.col(key), F.lit("salary"))
+    drawn = draws.between(digest, F.col("band_min"), F.col("band_max"))
+    return banded.withColumn("drawn_salary", drawn)
+
+
+def draw_deadline(posts: DataFrame, key: str, posted: str) -> DataFrame:
+    """Add ``drawn_deadline``: a whole number of days after posting, within the rule."""
+    low, high = vocab.DEADLINE_DAYS
+    digest = draws.digest(F.col(key), F.lit("deadline"))
+    days = draws.between(digest, F.lit(low), F.lit(high))
+    return posts.withColumn(
+        "drawn_deadline", F.col(posted) + F.make_dt_interval(days=days.cast("int"))
+    )
+
+
+def draw_employment(posts: DataFrame, key: str, title: str) -> DataFrame:
+    """Add ``drawn_employment``: one of the types the title's seniority allows."""
+    allowed = levels.allowed_employment(levels.seniority_from_title(F.col(title)))
+    digest = draws.digest(F.col(key), F.lit("employment"))
+    return posts.withColumn("drawn_employment", draws.pick(digest, allowed))
+
+
+def draw_years(candidates: DataFrame, key: str, text: str) -> DataFrame:
+    """Add ``drawn_graduation`` and ``drawn_birth``: years that fit the experience text."""
+    digest = draws.digest(F.col(key), F.lit("graduation"))
+    gap = draws.between(digest, F.lit(0), F.lit(vocab.GRADUATION_GAP))
+    graduation, birth = experience.derived_years(F.col(text), gap)
+    return candidates.withColumns({"drawn_graduation": graduation, "drawn_birth": birth})
+
+
 def sample_list(records: DataFrame, key: str, items: str, size: Column, into: str) -> DataFrame:
     """Add ``into``: ``size`` elements of the list ``items``, no position twice."""
     return records.withColumn(into, draws.sample(F.col(items), size, F.col(key), F.lit(items)))
