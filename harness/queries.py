@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -51,7 +52,7 @@ def match_scores_aliases(spark, sf_dir):
 
 @query
 def match_within(spark, sf_dir):
-    options = matching.MatchOptions(within="60 minutes")
+    options = matching.MatchOptions(within=timedelta(hours=1))
     return matching.match_scores(fx.candidates(spark, sf_dir), fx.posts(spark, sf_dir), options)
 
 
