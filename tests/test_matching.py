@@ -1,0 +1,137 @@
+"""The match job against brute force, with skew, copies and rare skills."""
+
+import datetime as dt
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from talentgrid import schemas, vocab
+from talentgrid.operators import matching as m
+from talentgrid.operators.matching import MatchOptions
+from tests import rules
+
+START = dt.datetime(2024, 1, 1)
+
+
+def fill(schema, **given):
+    return tuple(given.get(item.name) for item in schema)
+
+
+def make(spark, seed, candidates, posts, pool=20):
+    """Random records; half of them in one category, one candidate and one post many times over."""
+    draw = random.Random(seed)
+    skill = lambda: draw.choice(["Skill", "skill"]) + str(draw.randrange(pool))
+    category = lambda: draw.choice(["Consulting"] * 4 + vocab.CATEGORIES[:3] + ["Unmapped", None])
+    texts = ["0 years", "3-5 years", "10+ years", None, "2 years"]
+    level = lambda: draw.choice(vocab.LEVELS + [None, "vp"])
+    pay = lambda: draw.choice([None, 0.0, 50000.0, 60000.0, 45000.0, 90000.0])
+    when = lambda: START + dt.timedelta(minutes=draw.randrange(600))
+    cs = [
+        dict(candidate_id=f"c{i}", job_category=category(), skills=draw.choice([None, [], [skill() for _ in range(8)]]),
+             experience_range=draw.choice(texts), seniority=level(), current_salary=pay(), timestamp=when())
+        for i in range(candidates)
+    ]
+    ps = [
+        dict(post_id=f"p{i}", category=category(), skills_needed=draw.choice([None, [], [skill() for _ in range(6)]]),
+             years_experience=draw.choice(texts), detailed_experience_level=level(), salary=pay(), timestamp=when(),
+             post_date=START, deadline=START + dt.timedelta(days=draw.randrange(5, 30)), application_method="mail")
+        for i in range(posts)
+    ]
+    cs += [cs[0] | {"job_category": "Consulting"}] * 40
+    ps += [ps[0] | {"category": "Consulting"}] * 25
+    frames = [
+        spark.createDataFrame([fill(s, **row) for row in rows], s)
+        for s, rows in ((schemas.CANDIDATE, cs), (schemas.JOB_POST, ps))
+    ]
+    return cs, ps, *frames
+
+
+def brute(cs, ps, min_score=30, within=None):
+    out = []
+    for c in cs:
+        for p in ps:
+            if c["job_category"] not in vocab.ALLOWED_LEVELS or c["job_category"] != p["category"]:
+                continue
+            if within and abs(c["timestamp"] - p["timestamp"]) > within:
+                continue
+            left = (c["job_category"], c["skills"], c["experience_range"], c["seniority"], c["current_salary"])
+            right = (p["category"], p["skills_needed"], p["years_experience"], p["detailed_experience_level"], p["salary"])
+            score = rules.score(left, right)
+            if score >= min_score:
+                out.append((c["candidate_id"], p["post_id"], score, rules.reason(left, right)))
+    return out
+
+
+@pytest.mark.parametrize("pool, options", [
+    (20, MatchOptions()),
+    (20, MatchOptions(block_rows=8, partitions=5)),
+    (400, MatchOptions(block_rows=16)),  # more skills than bits
+    (20, MatchOptions(min_score=75)),
+    (20, MatchOptions(within=dt.timedelta(minutes=30), block_rows=8)),
+])
+def test_scores_equal_brute_force(spark, pool, options):
+    cs, ps, c, p = make(spark, 7, 120, 90, pool)
+    want = Counter(row[:3] for row in brute(cs, ps, options.min_score, options.within))
+    got = Counter(
+        (r.candidate_id, r.post_id, r.compatibility_score) for r in m.match_scores(c, p, options).collect()
+    )
+    assert got == want and len(want) > 50
+
+
+@pytest.mark.parametrize("pool", [20, 400])
+def test_reasons_equal_brute_force(spark, pool):
+    cs, ps, c, p = make(spark, 8, 60, 50, pool)
+    want = Counter((row[0], row[1], row[3]) for row in brute(cs, ps))
+    got = Counter((r.candidate_id, r.post_id, r.match_reason) for r in m.match_reasons(c, p).collect())
+    assert got == want
+
+
+def test_a_large_category_is_cut_into_bounded_cells(spark):
+    rows = [fill(schemas.CANDIDATE, candidate_id=f"c{i}", job_category="Consulting") for i in range(2000)]
+    c = spark.createDataFrame(rows, schemas.CANDIDATE)
+    p = spark.createDataFrame(
+        [fill(schemas.JOB_POST, post_id=f"p{i}", category="Consulting") for i in range(500)], schemas.JOB_POST
+    )
+    options = MatchOptions(block_rows=100)
+    have, need = m.prepare_candidates(c), m.prepare_posts(p)
+    plan = m._category_plan(have, need, ["category"], options)
+    cells = m._placed(have, "c", plan, ["category"], options).groupBy("c_block", "p_block").count()
+    stats = cells.agg(F.count("*"), F.max("count"), F.sum("count")).first()
+    assert stats[0] == 20 * 5 and stats[1] < 160 and stats[2] == 2000 * 5
+    assert m.match_scores(c, p, options).count() == 2000 * 500
+
+
+def test_rows_per_pair_and_invariants(spark, sf_dir):
+    from harness import fixtures as fx
+
+    c, p = fx.candidates(spark, sf_dir), fx.posts(spark, sf_dir)
+    families = Counter(category for members in vocab.FAMILY_CATEGORIES.values() for category in members)
+    per_pair = m.chances(c, p).groupBy("candidate_id", "post_id", "category").count()
+    for category, n, least, most in per_pair.groupBy("category").agg(
+        F.count("*"), F.min("count"), F.max("count")
+    ).collect():
+        assert least == most == families[category]
+    rows = m.applications(c, p).join(p.select("post_id", "post_date", "deadline"), "post_id")
+    day = F.to_date
+    bad = rows.filter(
+        ~F.col("compatibility_score").between(30, 100)
+        | (day("application_date") < day("post_date"))
+        | (day("application_date") >= day("deadline"))
+        | ((F.col("status") == "Rejected") & (F.col("compatibility_score") >= 60))
+        | ((F.col("status") == "Interview Scheduled") & (F.col("compatibility_score") < 80))
+    )
+    assert bad.count() == 0
+    assert rows.count() > 1000
+
+
+def test_keyed_draws_repeat_and_random_ones_differ(spark, sf_dir):
+    from harness import fixtures as fx
+
+    c, p = fx.candidates(spark, sf_dir), fx.posts(spark, sf_dir)
+    ids = lambda options=m.DEFAULTS: {r[0] for r in m.applications(c, p, options).select("application_id").collect()}
+    assert ids() == ids(MatchOptions(block_rows=10, partitions=3))
+    assert ids(MatchOptions(random_seed=1)) != ids(MatchOptions(random_seed=2))
+    rate = len(ids(MatchOptions(random_seed=1))) / len(ids())
+    assert 0.9 < rate < 1.1

@@ -1,0 +1,108 @@
+"""Streams: restart, several outputs, expiry of state, indicators."""
+
+import datetime as dt
+import json
+
+from harness import fixtures as fx
+from harness.queries import STREAM_PARTITIONS, topic_rows
+from talentgrid import schemas, vocab
+from talentgrid.operators.matching import MatchOptions, applications
+from talentgrid.plans.applications import stream_applications
+from talentgrid.sinks.places import new_folder
+from talentgrid.sinks.tables import counted, parquet_batches, record_batches
+from talentgrid.sources.topics import TopicSource
+from talentgrid.streaming import jobs
+
+ONCE = {"availableNow": True}
+START = dt.datetime(2024, 1, 1)
+
+
+def put(spark, root, topic, *records):
+    """Append records to a topic folder; each carries its own event time."""
+    rows = [(None, bytearray(json.dumps(r, default=str).encode()), topic, 0, 0, START, 0) for r in records]
+    spark.createDataFrame(rows, schemas.TOPIC).coalesce(1).write.mode("append").parquet(f"{root}/{topic}")
+
+
+def candidate(name, minute, **more):
+    return {"candidate_id": name, "job_category": "Human Resources", "experience_range": "3 years",
+            "timestamp": START + dt.timedelta(minutes=minute)} | more
+
+
+def post(name, minute):
+    return {"post_id": name, "category": "Human Resources", "years_experience": "2 years", "salary": 10,
+            "post_date": START, "deadline": START + dt.timedelta(days=9),
+            "timestamp": START + dt.timedelta(minutes=minute)}
+
+
+def run(spark, root, out, options, *outputs):
+    own = jobs.stream_session(spark, STREAM_PARTITIONS)
+    rows = stream_applications(own, TopicSource(format="parquet", root=root), options)
+    query = jobs.start_outputs(rows, f"{out}/checkpoint", *outputs, trigger=ONCE)
+    query.awaitTermination()
+    return query
+
+
+def test_restart_adds_nothing_twice_and_feeds_all_outputs(spark, sf_dir):
+    c, p = fx.candidates(spark, sf_dir), fx.posts(spark, sf_dir).drop("continent")
+    root, out, seen = new_folder(spark, "topics"), new_folder(spark, "out"), []
+    early, late = p.filter("post_id < 'post-15'"), p.filter("post_id >= 'post-15'")
+    outputs = (counted(parquet_batches(f"{out}/table"), lambda b, n: seen.append(n)), record_batches(f"{out}/records"))
+    topic_rows(c, "candidate_id", vocab.CANDIDATE_TOPIC).write.parquet(f"{root}/{vocab.CANDIDATE_TOPIC}")
+    topic_rows(early, "post_id", vocab.POST_TOPIC).write.parquet(f"{root}/{vocab.POST_TOPIC}")
+    run(spark, root, out, MatchOptions(), *outputs)
+    first = spark.read.parquet(f"{out}/table").count()
+    run(spark, root, out, MatchOptions(), *outputs)  # nothing new
+    assert spark.read.parquet(f"{out}/table").count() == first == applications(c, early).count()
+    topic_rows(late, "post_id", vocab.POST_TOPIC).write.mode("append").parquet(f"{root}/{vocab.POST_TOPIC}")
+    run(spark, root, out, MatchOptions(), *outputs)
+    table = spark.read.parquet(f"{out}/table")
+    want = {r[0] for r in applications(c, p).select("application_id").collect()}
+    assert {r.application_id for r in table.select("application_id").collect()} == want
+    assert table.count() == sum(seen) == applications(c, p).count()
+    records = [json.loads(r.value) for r in spark.read.text(f"{out}/records").select("value").collect()]
+    assert {r["application_id"] for r in records} == want
+
+
+def test_bounded_state_expires_and_late_rows_are_dropped(spark):
+    options = MatchOptions(within=dt.timedelta(minutes=10))
+    root, out = new_folder(spark, "topics"), new_folder(spark, "out")
+    write = parquet_batches(f"{out}/table")
+
+    def step(candidates, posts):
+        put(spark, root, vocab.CANDIDATE_TOPIC, *candidates)
+        put(spark, root, vocab.POST_TOPIC, *posts)
+        return run(spark, root, out, options, write)
+
+    def pairs():
+        rows = spark.read.parquet(f"{out}/table").select("candidate_id", "post_id").distinct().collect()
+        return {(r.candidate_id[0], r.post_id[0]) for r in rows}
+
+    step([candidate(f"a{i}", 0) for i in range(40)], [post(f"x{i}", 5) for i in range(5)])
+    assert pairs() == {("a", "x")}
+    step([candidate(f"b{i}", 300) for i in range(40)], [post(f"y{i}", 300) for i in range(5)])
+    last = step([candidate(f"c{i}", 600) for i in range(40)], [post(f"z{i}", 600) for i in range(5)])
+    assert pairs() == {("a", "x"), ("b", "y"), ("c", "z")}
+    state = last.lastProgress["stateOperators"][0]
+    # 40 candidates, each post in three slots and four blocks: only the newest step is left
+    assert state["numRowsTotal"] <= 40 + 5 * 3 * 4
+    step([candidate("a-late", 0)], [post("x-late", 1)])
+    assert pairs() == {("a", "x"), ("b", "y"), ("c", "z")}
+
+
+def test_indicators_follow_the_stream(spark):
+    from talentgrid.sources.topics import decode
+
+    root, out = new_folder(spark, "topics"), new_folder(spark, "indicators")
+
+    def refresh(*statuses):
+        rows = [{"application_id": str(i), "status": s, "compatibility_score": 70} for i, s in enumerate(statuses)]
+        put(spark, root, vocab.APPLICATION_TOPIC, *rows)
+        own = jobs.stream_session(spark, 2)
+        stream = decode(TopicSource(format="parquet", root=root).stream(own, vocab.APPLICATION_TOPIC), schemas.APPLICATION)
+        jobs.start_indicators(stream, f"{out}/table", f"{out}/checkpoint", trigger=ONCE).awaitTermination()
+        rows = jobs.read_indicators(spark, f"{out}/table").filter("kpi = 'status'").collect()
+        return {r.key: r.n for r in rows}
+
+    assert refresh("Applied", "Applied", "Rejected") == {"Applied": 2, "Rejected": 1}
+    assert refresh("Applied") == {"Applied": 3, "Rejected": 1}
+    assert refresh("Shortlisted") == {"Applied": 3, "Rejected": 1, "Shortlisted": 1}
