@@ -60,3 +60,15 @@ def test_top_k_is_not_a_full_sort(spark, sf_dir):
 def test_term_ranking_limits_groups_before_the_shuffle(spark, sf_dir):
     terms = matching.skill_terms(matching.prepare_posts(fx.posts(spark, sf_dir)))
     assert "WindowGroupLimit" in plan(terms)
+
+
+def test_pair_loop_stays_small_enough_to_be_compiled(spark, sf_dir):
+    """The JVM interprets methods beyond 8000 bytes of code, which costs a factor of five."""
+    c, p = fx.candidates(spark, sf_dir), fx.posts(spark, sf_dir)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stages = matching.applications(c, p)._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [stages.apply(at)._3().maxMethodCodeSize() for at in range(stages.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(sizes) < 7000
