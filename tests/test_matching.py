@@ -94,13 +94,29 @@ def test_a_large_category_is_cut_into_bounded_cells(spark):
     p = spark.createDataFrame(
         [fill(schemas.JOB_POST, post_id=f"p{i}", category="Consulting") for i in range(500)], schemas.JOB_POST
     )
-    options = MatchOptions(block_rows=100)
-    have, need = m.prepare_candidates(c), m.prepare_posts(p)
-    plan = m._category_plan(have, need, ["category"], options)
-    cells = m._placed(have, "c", plan, ["category"], options).groupBy("c_block", "p_block").count()
-    stats = cells.agg(F.count("*"), F.max("count"), F.sum("count")).first()
-    assert stats[0] == 20 * 5 and stats[1] < 160 and stats[2] == 2000 * 5
-    assert m.match_scores(c, p, options).count() == 2000 * 500
+    have, need, key = m.prepare_candidates(c), m.prepare_posts(p), ["category"]
+    counts = m._counts(have, need, key)
+    grid = m.fit_grid(counts, MatchOptions(block_rows=100))
+    assert (grid.block_rows, grid.copies) == (100, 20)
+    for copies in (20, 1000):  # the second goes through the extra spread
+        grid = m.Grid(100, grid.partitions, copies)
+        plan = m._category_plan(counts, need, key, grid)
+        cells = m._placed(have, "c", plan, key, grid).groupBy("c_block", "p_block").count()
+        stats = cells.agg(F.count("*"), F.max("count"), F.sum("count")).first()
+        assert stats[0] == 20 * 5 and stats[1] < 160 and stats[2] == 2000 * 5
+    assert m.match_scores(c, p, MatchOptions(block_rows=100)).count() == 2000 * 500
+
+
+def test_grid_follows_the_number_of_pairs(spark):
+    def grid(c, p):
+        return m.fit_grid(spark.createDataFrame([("x", c, p)], "category string, c long, p long"), MatchOptions())
+
+    small, large, huge = grid(100, 100), grid(1_000_000, 1_000_000), grid(10**9, 10**9)
+    assert small.block_rows == 128 and small.partitions == 32
+    assert large.partitions == 50_000 and 1000 < large.block_rows < 4096
+    assert huge.partitions == 100_000 and huge.block_rows == 4096
+    none = m.fit_grid(spark.createDataFrame([], "category string, c long, p long"), MatchOptions())
+    assert none.copies == 0
 
 
 def test_rows_per_pair_and_invariants(spark, sf_dir):
