@@ -481,6 +481,12 @@ SELECT candidate_id, {_employers('years', 1)} AS employers_min, {_employers('yea
 SELECT post_id, band, band_min, band_max, CAST(band_min + {_whole("post_id || '|salary'", 'band_max - band_min + 1')} AS BIGINT) AS drawn_salary FROM r""",
     "years_allowed": f"""WITH {POST}, t AS (SELECT post_id, years_experience, {_years_texts(_band('detailed_experience_level'))} AS texts FROM post)
 SELECT post_id, array_to_string(texts, '|') AS allowed_texts, list_contains(texts, years_experience) AS allowed FROM t""",
+    "level_dimension_join": f"""WITH {POST}, {_values('bands', 'level, years_class, texts, min_salary, max_salary', [
+        (level, vocab.LEVEL_YEARS_CLASS[level], len(vocab.YEARS_TEXTS[vocab.LEVEL_YEARS_CLASS[level]]), *band)
+        for level, band in vocab.SALARY_BANDS.items()])}
+SELECT detailed_experience_level AS level, years_class, texts, min_salary, max_salary, count(*) AS posts,
+  count(*) FILTER (WHERE salary < min_salary) AS underpaid
+FROM post LEFT JOIN bands ON detailed_experience_level = level GROUP BY ALL""",
     "location_split": f"WITH {CAND} SELECT candidate_id, trim(split_part(location, ',', 1)) AS city, trim(split_part(location, ',', 2)) AS country FROM cand",
     "employment_allowed": f"""WITH {POST} SELECT post_id, employment_type,
   list_contains({_allowed(_seniority('job_title'), vocab.EMPLOYMENT_RULES, vocab.DEFAULT_EMPLOYMENT)}, employment_type) AS employment_ok FROM post""",

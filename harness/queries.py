@@ -15,6 +15,7 @@ from talentgrid.plans import applications as plans
 from talentgrid.sinks.places import new_folder
 from talentgrid.sinks.tables import csv_ready, parquet_batches, write_csv
 from talentgrid.sinks.topics import as_records
+from talentgrid.sources.dimensions import dimensions
 from talentgrid.sources.topics import TopicSource, decode
 from talentgrid.streaming import jobs
 
@@ -195,6 +196,22 @@ def years_allowed(spark, sf_dir):
     )
 
 
+@query
+def level_dimension_join(spark, sf_dir):
+    """Chained lookups by join: level -> band, level -> class of years -> range texts."""
+    dims = dimensions(spark)
+    texts = dims["years_text"].groupBy("years_class").agg(F.count("*").alias("texts"))
+    levels_known = (
+        dims["salary_band"].join(dims["level_years"], "level").join(texts, "years_class").drop("ordinal")
+    )
+    rows = fx.posts(spark, sf_dir).withColumnRenamed("detailed_experience_level", "level")
+    return (
+        rows.join(F.broadcast(levels_known), "level", "left")
+        .groupBy("level", "years_class", "texts", "min_salary", "max_salary")
+        .agg(F.count("*").alias("posts"), F.count_if(F.col("salary") < F.col("min_salary")).alias("underpaid"))
+    )
+
+
 @query
 def location_split(spark, sf_dir):
     return enrich.location_columns(fx.candidates(spark, sf_dir)).select("candidate_id", "city", "country")

@@ -113,6 +113,30 @@ def test_score_of_raw_pairs(spark):
     assert seen == len(SIDES) ** 2
 
 
+def test_reasons_of_raw_pairs(spark):
+    names = ("category", "skills", "years", "level", "salary")
+    c = spark.createDataFrame(SIDES, SIDE).select([F.col(n).alias("c_" + n) for n in names])
+    shared = F.array_intersect(scoring.skill_set(F.col("c_skills")), scoring.skill_set(F.col("skills")))
+    pairs = c.crossJoin(spark.createDataFrame(SIDES, SIDE)).withColumn(
+        "reason",
+        scoring.match_reason(
+            F.coalesce(F.col("c_category") == F.col("category"), F.lit(False)),
+            F.coalesce(F.size(shared), F.lit(0)),
+            scoring.name_skills(shared),
+            experience.year_bounds(F.col("c_years"))[0],
+            experience.year_bounds(F.col("years"))[0],
+            F.lower("c_level"),
+            F.lower("level"),
+        ),
+    )
+    told = set()
+    for row in pairs.filter("c_category IS NOT NULL OR category IS NOT NULL").collect():
+        left, right = tuple(row["c_" + n] for n in names), tuple(row[n] for n in names)
+        assert row["reason"] == rules.reason(left, right), (left, right)
+        told.add(row["reason"])
+    assert "Career growth opportunity" in told
+
+
 @pytest.mark.parametrize("score, days, options", [
     (80, 7, ["Under Review", "Interview Scheduled", "Shortlisted"]),
     (80, 8, ["Applied", "Under Review", "Shortlisted"]),
@@ -169,3 +193,15 @@ def test_sample_has_no_position_twice(spark):
     rows = frame.select(draws.sample(F.col("items"), F.lit(5), F.col("k").cast("string")).alias("s")).collect()
     assert all(len(set(row.s)) == 5 for row in rows)
     assert len({tuple(row.s) for row in rows}) > 40
+
+
+def test_dimensions_have_the_published_sizes(spark):
+    from talentgrid.sources.dimensions import dimensions, register
+
+    sizes = {name: rows.count() for name, rows in dimensions(spark).items()}
+    assert sizes["category_family"] == 39 and sizes["title_keyword"] == 21 and sizes["salary_band"] == 22
+    assert sizes["level_years"] == 22 and sizes["employment_rule"] == 21 and sizes["category_counts"] == 20
+    assert sizes["seniority_rank"] == 21 and sizes["industry_weight"] == 18 * 6 and sizes["education_weight"] == 32
+    register(spark)
+    assert spark.sql("SELECT count(DISTINCT family_group) FROM category_family").first()[0] == 14
+    assert spark.sql("SELECT count(DISTINCT country) FROM country_language").first()[0] == len(vocab.COUNTRY_LANGUAGES)
