@@ -484,7 +484,7 @@ SELECT post_id, array_to_string(texts, '|') AS allowed_texts, list_contains(text
     "level_dimension_join": f"""WITH {POST}, {_values('bands', 'level, years_class, texts, min_salary, max_salary', [
         (level, vocab.LEVEL_YEARS_CLASS[level], len(vocab.YEARS_TEXTS[vocab.LEVEL_YEARS_CLASS[level]]), *band)
         for level, band in vocab.SALARY_BANDS.items()])}
-SELECT detailed_experience_level AS level, years_class, texts, min_salary, max_salary, count(*) AS posts,
+SELECT detailed_experience_level AS level, years_class, CAST(texts AS BIGINT) AS texts, min_salary, max_salary, count(*) AS posts,
   count(*) FILTER (WHERE salary < min_salary) AS underpaid
 FROM post LEFT JOIN bands ON detailed_experience_level = level GROUP BY ALL""",
     "location_split": f"WITH {CAND} SELECT candidate_id, trim(split_part(location, ',', 1)) AS city, trim(split_part(location, ',', 2)) AS country FROM cand",
