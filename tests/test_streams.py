@@ -89,6 +89,21 @@ def test_bounded_state_expires_and_late_rows_are_dropped(spark):
     assert pairs() == {("a", "x"), ("b", "y"), ("c", "z")}
 
 
+def test_bounded_stream_equals_bounded_batch(spark, sf_dir):
+    c, p = fx.candidates(spark, sf_dir), fx.posts(spark, sf_dir).drop("continent")
+    options = MatchOptions(within=dt.timedelta(minutes=25))
+    root, out = new_folder(spark, "topics"), new_folder(spark, "out")
+    for step in range(4):
+        start = START + dt.timedelta(minutes=50 * step)
+        for rows, key, topic in ((c, "candidate_id", vocab.CANDIDATE_TOPIC), (p, "post_id", vocab.POST_TOPIC)):
+            part = rows.filter((rows.timestamp >= start) & (rows.timestamp < start + dt.timedelta(minutes=50)))
+            topic_rows(part, key, topic).coalesce(1).write.mode("append").parquet(f"{root}/{topic}")
+        run(spark, root, out, options, parquet_batches(f"{out}/table"))
+    got = spark.read.parquet(f"{out}/table").select("application_id").collect()
+    want = applications(c, p, options).select("application_id").collect()
+    assert sorted(r[0] for r in got) == sorted(r[0] for r in want) and len(want) > 200
+
+
 def test_indicators_follow_the_stream(spark):
     from talentgrid.sources.topics import decode
 
