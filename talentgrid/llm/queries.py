@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talentgrid.llm import byte_bpe
+from talentgrid.llm import byte_bpe, packing
 from talentgrid.llm.frames import table
 
 QUERIES = {}
@@ -30,3 +30,16 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_pieces(
+        packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    )
+
+
+def digest_pieces(pieces: DataFrame) -> DataFrame:
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
