@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talentgrid.llm import byte_bpe, chunks, langid, packing
+from talentgrid.llm import byte_bpe, chunks, langid, packing, simhash
 from talentgrid.llm.frames import table
 
 QUERIES = {}
@@ -54,3 +54,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.compared(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
