@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talentgrid.llm import byte_bpe, chunks, langid, packing, simhash
+from talentgrid.llm import byte_bpe, chunks, langid, packing, quality, simhash
 from talentgrid.llm.frames import table
 
 QUERIES = {}
@@ -59,3 +59,8 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
