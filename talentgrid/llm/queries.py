@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talentgrid.llm import byte_bpe, chunks, langid, licenses, packing, quality, simhash, urls
-from talentgrid.llm.frames import table
+from talentgrid.llm import byte_bpe, chunks, langid, licenses, packing, quality, simhash, urls, warc
+from talentgrid.llm.frames import new_folder, table
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -96,3 +96,21 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op1_license_scan"] = licenses.oracle_sql()
+
+
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op6_warc"] = """
+WITH sized AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+digests AS (SELECT page_id, octet_length(encode(body)) AS payload_bytes, sha256(body) AS payload_digest FROM sized),
+firsts AS (SELECT payload_digest, min(page_id) AS f FROM digests WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN f < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN f < page_id THEN f END AS refers_to
+FROM digests LEFT JOIN firsts USING (payload_digest)
+"""
