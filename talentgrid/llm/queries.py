@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talentgrid.llm import byte_bpe, chunks, langid, licenses, packing, quality, simhash, urls, warc
+from talentgrid.llm import byte_bpe, chat, chunks, langid, licenses, packing, quality, simhash, urls, warc
 from talentgrid.llm.frames import new_folder, table
 
 QUERIES = {}
@@ -114,3 +114,9 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN f < page_id THEN f END AS refers_to
 FROM digests LEFT JOIN firsts USING (payload_digest)
 """
+
+
+@query
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = chat.transcripts(table(spark, sf_dir, "conversations"))
+    return chat.rendered(chat.parse(lines, chat.train(lines)))
