@@ -114,7 +114,7 @@ def judged(docs: DataFrame, ratios: DataFrame, text: str) -> DataFrame:
     """Adds the statistics, score and verdict of column ``text`` to each row of the table.
 
     New columns: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score,
-    kept.  A null text counts as empty; a text without words has score 0 and fails.
+    kept, and row, a number.  A null text counts as empty; a text without words has score 0 and fails.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(whole, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
@@ -123,16 +123,18 @@ def judged(docs: DataFrame, ratios: DataFrame, text: str) -> DataFrame:
     total = F.aggregate(
         grams, F.lit(0.0), lambda acc, gram: acc + F.get(F.col("ratios"), bucket(gram)).cast("double")
     )
-    hashed = with_hashes(docs.withColumn("ratios", ratios.scalar()), text)
+    hashed = with_hashes(docs, text)
     hashed = hashed.withColumn("four", joined(F.col("two"), 2))
     hashed = hashed.withColumn("eight", joined(F.col("four"), 4))
-    return hashed.withColumns({
+    # the array comes in last: rows that carry it are not copied again
+    return hashed.withColumn("ratios", ratios.scalar()).withColumns({
         "n_words": F.size("one").cast("bigint"),
         "word_chars": length(F.translate(whole, " \t\n\x0b\x0c\r", "")),
         "n_symbols": length(whole) - length(F.translate(whole, SYMBOLS, "")),
         "lines": lines,
         "n_repeat_words": _repeated_words(F.col("eight")),
         "score": F.when(F.size("one") > 0, total / F.size(grams)).otherwise(0.0),
+        "row": F.monotonically_increasing_id(),
     }).withColumns({
         "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint"),
         "base_failed": (F.col("n_words") < LEAST_WORDS)
@@ -144,11 +146,12 @@ def judged(docs: DataFrame, ratios: DataFrame, text: str) -> DataFrame:
 
 def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id and the columns of ``judged`` for every document; repeated rows stay."""
-    return judged(pick(docs, "doc_id", "text"), log_ratios(docs, labels), "text").drop("text")
+    return judged(pick(docs, "doc_id", "text"), log_ratios(docs, labels), "text").drop("text", "row")
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows that are kept, all columns as they are."""
     plain, names = numbered(docs)
     found = judged(plain, log_ratios(docs, labels), names["text"])
-    return found.filter("kept").select(*plain.columns).toDF(*docs.columns)
+    # the row number keeps the optimiser from working out the verdict twice, for filter and columns
+    return found.filter(F.col("kept") & (F.col("row") >= 0)).select(*plain.columns).toDF(*docs.columns)
