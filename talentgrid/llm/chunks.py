@@ -39,12 +39,12 @@ def ends(raw: bytes) -> list[int]:
     loose, strict = [], []
     for at in range(0, len(raw), AT_ONCE):
         first = max(0, at - 31)  # the bytes that the first hashes also depend on
-        data = np.frombuffer(raw, np.uint8, min(len(raw), at + AT_ONCE) - first, first)
+        data = np.frombuffer(raw, np.uint8, min(len(raw), at + AT_ONCE + 1) - first, first)
         gear = GEAR[data]
         for step in (1, 2, 4, 8, 16):
             gear[step:] += gear[:-step] << np.uint32(step)
         place = np.flatnonzero(gear < np.uint32(1 << (32 - LOOSE)))
-        place = place[place >= at - first]
+        place = place[(place >= at - first) & (place < at - first + AT_ONCE)]
         inside = place + 1 < len(data)  # the next byte must begin a character
         place = place[inside][(data[place[inside] + 1] & 0xC0) != 0x80]
         loose.append(place + (first + 1))

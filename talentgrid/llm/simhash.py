@@ -101,6 +101,8 @@ def mask_of(bits: list[int]) -> int:
 
 def allotted(sample: np.ndarray, n: int, limit: int) -> tuple[list[int], list[int]]:
     """Masks and thresholds of the parts in use that cost least for ``n`` fingerprints."""
+    if not len(sample):
+        return [mask_of(list(range(BITS)))], [0]
     best = (float("inf"), [], [])
     left, right = np.triu_indices(len(sample), 1)
     apart = sample[left] ^ sample[right]
@@ -110,7 +112,7 @@ def allotted(sample: np.ndarray, n: int, limit: int) -> tuple[list[int], list[in
         for bits in groups:
             mask, width = np.uint64(mask_of(bits)), len(bits)
             near = np.bincount(np.bitwise_count(apart & mask), minlength=width + 1).cumsum()
-            zeros = width - np.bitwise_count(sample & mask).mean() if len(sample) else width
+            zeros = width - np.bitwise_count(sample & mask).mean()
             row = [0.0]
             for t in range(MOST_IN_PART + 1):
                 filed = sum(float(np.prod([(zeros - k) / (k + 1) for k in range(x)])) for x in range(t + 1))
