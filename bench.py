@@ -4,7 +4,7 @@ Inputs are the job-market tables projected from ``$BENCH_SF_DIR``, stored as Par
 once (not timed), as a user's tables would be.  Each operator is built and run to a
 sink that discards its rows: one warm-up, then the median of three runs.
 
-``--udf`` times the three-Python-UDF form of the match instead, on the same tables.
+``--udf`` times the match with a Python UDF for the score instead, on the same tables.
 """
 
 from __future__ import annotations
@@ -72,10 +72,10 @@ def main() -> None:
     spark = local_session("bench")
     a, p, c = stored(spark, SF_DIR)
     if "--udf" in sys.argv:
-        from harness.udf_form import applications
+        from harness.udf_form import match_scores
 
         pairs = matching.match_scores(c, p).count()
-        took = seconds(lambda: applications(c, p))
+        took = seconds(lambda: match_scores(c, p))
         print(json.dumps({"metric": "udf_match", "value": round(took, 2), "unit": "sec", "pairs": pairs, "sf": SF_DIR}))
         return
     took = {}

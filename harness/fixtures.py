@@ -27,6 +27,11 @@ INDUSTRIES = [
     "Oil & Gas", "Gaming", "Legal Services", "Insurance", "Automotive",
 ]
 LANGUAGES = ["English", "German", "French", "Spanish", "Hindi", "Mandarin Chinese"]
+#: invented choices of the posts; two contracts are named as some level's rule names them
+CONTRACTS = ["Full-time", "Contract", "by the day", "evenings", "on call", "one season", "trial month"]
+PLACES = ["at the site", "from home", "now here, now there"]
+APPLY_WAYS = [f'way {i}, "form {i}"' for i in range(6)]
+BOARDS = [f"board {i}" for i in range(20)]
 COUNTRIES = list(vocab.COUNTRY_LANGUAGES)
 REGION_CONTINENT = {
     "AFRICA": "Africa", "AMERICA": "North America", "ASIA": "Asia", "EUROPE": "Europe",
@@ -119,19 +124,19 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("company_"), (k % 40).cast("string")).alias("company"),
         _pick(vocab.CATEGORIES, (3 * k) % 20).alias("category"),
         F.concat(_pick(TITLE_PREFIXES, (q + k) % 8), _pick(TITLE_NOUNS, (q + 4 * k) % 13)).alias("job_title"),
-        _pick(vocab.APPLY_METHODS, (q + k) % 6).alias("application_method"),
+        _pick(APPLY_WAYS, (q + k) % 6).alias("application_method"),
         posted.alias("post_date"),
         deadline.alias("deadline"),
         _series(k, 2, k % 6, CERT_POOL, "cert").alias("certifications"),
         F.when(k % 89 == 0, F.array().cast("array<string>"))
         .otherwise(_series(q + 5 * k, 7, F.lit(10), SKILL_POOL, "skill")).alias("skills_needed"),
-        _pick(vocab.PLATFORMS, (q + 11 * k) % 20).alias("platform"),
-        _pick(vocab.EMPLOYMENT_TYPES, (q + k) % 7).alias("employment_type"),
+        _pick(BOARDS, (q + 11 * k) % 20).alias("platform"),
+        _pick(CONTRACTS, (q + k) % 7).alias("employment_type"),
         F.concat(F.lit("City"), (k % 30).cast("string")).alias("city"),
         F.when(k % 25 % 7 == 6, F.col("n_name"))
         .otherwise(_pick(COUNTRIES, (4 * (k % 25)) % len(COUNTRIES))).alias("country"),
         _pick(LANGUAGES, (q + k) % 6).alias("language"),
-        _pick(vocab.WORK_MODES, (q + 2 * k) % 3).alias("work_mode"),
+        _pick(PLACES, (q + 2 * k) % 3).alias("work_mode"),
         _pick(INDUSTRIES, (q + k) % 11).alias("industry"),
         _pick(vocab.LEVELS, level).alias("detailed_experience_level"),
         F.when(k % 50 == 0, 0.0)
@@ -165,7 +170,7 @@ def application_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         moment.alias("application_date"),
         F.least(F.lit(100), F.floor("value")).cast("int").alias("compatibility_score"),
         status.alias("status"),
-        _pick(vocab.APPLY_METHODS, event % 6).alias("application_method"),
+        _pick(APPLY_WAYS, event % 6).alias("application_method"),
         moment.alias("timestamp"),
         F.when(event % 211 != 0, _pick(vocab.FAMILIES, user % 14)).alias("job_post_family_group"),
     )

@@ -184,17 +184,17 @@ POST = f"""post_base AS (
     'company_' || (k % 40) AS company,
     {_at(vocab.CATEGORIES, '(3 * k) % 20')} AS category,
     {_at(fx.TITLE_PREFIXES, '(q + k) % 8')} || {_at(fx.TITLE_NOUNS, '(q + 4 * k) % 13')} AS job_title,
-    {_at(vocab.APPLY_METHODS, '(q + k) % 6')} AS application_method,
+    {_at(fx.APPLY_WAYS, '(q + k) % 6')} AS application_method,
     {EPOCH} + to_days(CAST(k % 365 AS INTEGER)) + to_seconds(k % 86400) AS post_date,
     {EPOCH} + to_days(CAST(k % 365 + CASE WHEN k % 40 = 0 THEN 40 ELSE 5 + k % 25 END AS INTEGER)) + to_seconds(k % 86400) AS deadline,
     {_series('k', 2, 'k % 6', fx.CERT_POOL, 'cert')} AS certifications,
     CASE WHEN k % 89 = 0 THEN CAST([] AS VARCHAR[]) ELSE {_series('q + 5 * k', 7, '10', fx.SKILL_POOL, 'skill')} END AS skills_needed,
-    {_at(vocab.PLATFORMS, '(q + 11 * k) % 20')} AS platform,
-    {_at(vocab.EMPLOYMENT_TYPES, '(q + k) % 7')} AS employment_type,
+    {_at(fx.BOARDS, '(q + 11 * k) % 20')} AS platform,
+    {_at(fx.CONTRACTS, '(q + k) % 7')} AS employment_type,
     'City' || (k % 30) AS city,
     CASE WHEN k % 25 % 7 = 6 THEN n_name ELSE {_at(fx.COUNTRIES, f'(4 * (k % 25)) % {len(fx.COUNTRIES)}')} END AS country,
     {_at(fx.LANGUAGES, '(q + k) % 6')} AS language,
-    {_at(vocab.WORK_MODES, '(q + 2 * k) % 3')} AS work_mode,
+    {_at(fx.PLACES, '(q + 2 * k) % 3')} AS work_mode,
     {_at(fx.INDUSTRIES, '(q + k) % 11')} AS industry,
     {_at(vocab.LEVELS, '(q + 3 * k) % 22')} AS detailed_experience_level,
     CASE WHEN k % 50 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(12000 + 5000 * ((q + 53 * k) % 40) AS DOUBLE) END AS salary,
@@ -208,7 +208,7 @@ APP = f"""app AS (
     'post-' || (event_id % 200) AS post_id, CAST(ts AS TIMESTAMP) AS application_date,
     CAST(least(100, floor(value)) AS INTEGER) AS compatibility_score,
     {_case([(f'event_type = {_q(kind)}', _q(status)) for kind, status in fx.EVENT_STATUS.items()])} AS status,
-    {_at(vocab.APPLY_METHODS, 'event_id % 6')} AS application_method,
+    {_at(fx.APPLY_WAYS, 'event_id % 6')} AS application_method,
     CAST(ts AS TIMESTAMP) AS "timestamp",
     CASE WHEN event_id % 211 <> 0 THEN {_at(vocab.FAMILIES, 'user_id % 14')} END AS job_post_family_group
   FROM events)"""
@@ -271,7 +271,7 @@ def _chances(distinct: bool = False) -> str:
     CAST(trunc({_unit(1)} * date_diff('day', CAST(post_date AS DATE), CAST(deadline AS DATE))) AS INTEGER) AS day,
     CAST(trunc({_unit(2)} * 86400) AS BIGINT) AS second,
     {_unit(3)} AS status_draw,
-    (residue * {_seed('family_group', 1)}) % 2147483629 % 1000000 AS digits
+    (residue * {_seed("family_group || '|id'")}) % 2147483629 % 1000000 AS digits
   FROM drawn)"""
 
 
@@ -441,7 +441,7 @@ _AGE = "(2025 - CAST(date_of_birth AS INTEGER))"
 
 ORACLES: dict[str, str] = {
     "match_scores": f"WITH {_pairs()} SELECT candidate_id, post_id, category, compatibility_score FROM pair",
-    "match_scores_aliases": f"WITH {_pairs(aliases=True, min_score=70)} SELECT candidate_id, post_id, category, compatibility_score FROM pair",
+    "match_scores_aliases": f"WITH {_pairs(aliases=True)} SELECT candidate_id, post_id, category, compatibility_score FROM pair",
     "match_within": "WITH " + _pairs(where="p_time BETWEEN c_time - INTERVAL 60 MINUTE AND c_time + INTERVAL 60 MINUTE")
     + " SELECT candidate_id, post_id, category, compatibility_score FROM pair",
     "match_reasons": f"WITH {_pairs()} SELECT candidate_id, post_id, match_reason FROM pair",
@@ -563,9 +563,9 @@ SELECT bin, round(lo + bin * width, 2) AS bin_from, round(lo + (bin + 1) * width
     "sorted_page": f"""WITH {APP} SELECT application_id, candidate_id, post_id, compatibility_score, status FROM app
 ORDER BY compatibility_score DESC NULLS LAST, application_id LIMIT 50 OFFSET 100""",
     "page_count": f"WITH {APP} SELECT count(*) AS rows, CAST(greatest(1, ceil(count(*) / 25.0)) AS BIGINT) AS pages FROM app",
-    "numbered_pages": f"""WITH {APP}, newest AS (SELECT * {_RECENT}), n AS (
-  SELECT application_id, status, compatibility_score, CAST(row_number() OVER (ORDER BY status NULLS LAST, application_id) AS INTEGER) AS row FROM newest)
-SELECT *, CAST((row + 24) // 25 AS INTEGER) AS page FROM n""",
+    "numbered_pages": f"""WITH {APP}, n AS (
+  SELECT application_id, status, compatibility_score, row_number() OVER (ORDER BY status NULLS LAST, application_id) AS row FROM app)
+SELECT *, CAST((row + 24) // 25 AS BIGINT) AS page FROM n""",
     "decode_json": """SELECT CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER) AS k, count(*) AS n,
   CAST(max(CAST(ts AS TIMESTAMP)) AS VARCHAR) AS latest FROM events GROUP BY 1""",
     "json_roundtrip": f"""WITH {CAND} SELECT candidate_id, name, gender, date_of_birth, nationality, location, graduation_year, gpa,
@@ -578,7 +578,16 @@ SELECT *, CAST((row + 24) // 25 AS INTEGER) AS page FROM n""",
     row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)
 SELECT candidate_id, delivery, CAST(delivered AS VARCHAR) AS delivered, source FROM incoming
 WHERE rn = 1 AND candidate_id NOT IN (SELECT 'cand-' || c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""",
-    "csv_export": f"""WITH {POST} SELECT post_id, job_title, application_method, CAST(post_date AS VARCHAR) AS post_date,
-  CAST(deadline AS VARCHAR) AS deadline, {_json_list('certifications')} AS certifications, {_json_list('skills_needed')} AS skills_needed,
+    "csv_export": f"""WITH {POST} SELECT post_id, company, category, job_title, application_method,
+  CAST(post_date AS VARCHAR) AS post_date, CAST(deadline AS VARCHAR) AS deadline,
+  {_json_list('certifications')} AS certifications, {_json_list('skills_needed')} AS skills_needed,
+  platform, employment_type, city, country, language, work_mode, industry, detailed_experience_level,
   CAST(salary AS VARCHAR) AS salary, years_experience, CAST("timestamp" AS VARCHAR) AS "timestamp" FROM post""",
+    "json_roundtrip_posts": f"""WITH {POST} SELECT post_id, company, category, job_title, application_method,
+  CAST(post_date AS VARCHAR) AS post_date, CAST(deadline AS VARCHAR) AS deadline,
+  array_to_string(certifications, '|') AS certifications, array_to_string(skills_needed, '|') AS skills_needed,
+  platform, employment_type, city, country, language, work_mode, industry, detailed_experience_level,
+  salary, years_experience, CAST("timestamp" AS VARCHAR) AS "timestamp" FROM post""",
+    "stream_table_load": f"""WITH {CAND} SELECT candidate_id, name, seniority, CAST("timestamp" AS VARCHAR) AS "timestamp",
+  3 * (SELECT count(*) FROM cand) AS delivered FROM cand""",
 }

@@ -11,9 +11,9 @@ from harness import fixtures as fx
 from talentgrid import schemas, vocab
 from talentgrid.functions import draws, levels, scoring
 from talentgrid.operators import enrich, families, kpi, loading, matching, mixes, paging, quality
-from talentgrid.plans import applications as plans
-from talentgrid.sinks.places import new_folder
-from talentgrid.sinks.tables import csv_ready, parquet_batches, write_csv
+from talentgrid.plans import applications as plans, tables
+from talentgrid.sinks.places import new_folder, shared_folder
+from talentgrid.sinks.tables import counted, csv_ready, parquet_batches, record_batches, write_csv
 from talentgrid.sinks.topics import as_records
 from talentgrid.sources.dimensions import dimensions
 from talentgrid.sources.topics import TopicSource, decode
@@ -47,7 +47,7 @@ def match_scores(spark, sf_dir):
 
 @query
 def match_scores_aliases(spark, sf_dir):
-    options = matching.MatchOptions(rank_aliases=True, min_score=70)
+    options = matching.MatchOptions(rank_aliases=True)
     return matching.match_scores(fx.candidates(spark, sf_dir), fx.posts(spark, sf_dir), options)
 
 
@@ -416,8 +416,8 @@ def page_count(spark, sf_dir):
 
 @query
 def numbered_pages(spark, sf_dir):
-    found = kpi.recent(fx.application_events(spark, sf_dir))
-    pages = paging.numbered_pages(found, "status", "application_id", rows=100, size=25)
+    shared_folder(spark)
+    pages = paging.numbered_pages(fx.application_events(spark, sf_dir), "status", "application_id", size=25)
     return pages.select("application_id", "status", "compatibility_score", "row", "page")
 
 
@@ -460,6 +460,15 @@ def json_roundtrip(spark, sf_dir):
     )
 
 
+@query
+def json_roundtrip_posts(spark, sf_dir):
+    records = topic_rows(fx.posts(spark, sf_dir).drop("continent"), "post_id", vocab.POST_TOPIC)
+    rows = decode(records, schemas.JOB_POST)
+    return _text(rows, "timestamp", "post_date", "deadline").withColumns(
+        {name: F.array_join(name, "|") for name in ("skills_needed", "certifications")}
+    )
+
+
 @query
 def table_load_dedup(spark, sf_dir):
     """Orders bring candidate records over and over; one market segment is loaded already."""
@@ -484,10 +493,7 @@ def csv_export(spark, sf_dir):
     write_csv(rows, path)
     names = ", ".join(f"`{item.name}` string" for item in csv_ready(rows).schema)
     back = spark.read.option("header", True).option("escape", '"').schema(names).csv(path)
-    return back.select(
-        "post_id", "job_title", "application_method", "post_date", "deadline", "certifications",
-        "skills_needed", "salary", "years_experience", "timestamp",
-    )
+    return back
 
 
 # -- streams ----------------------------------------------------------------
@@ -517,6 +523,28 @@ def stream_match(spark, sf_dir):
     return _text(spark.read.parquet(f"{out}/table").drop("timestamp", "batch_id"), "application_date")
 
 
+@query
+def stream_table_load(spark, sf_dir):
+    """Candidate records, each delivered three times over several micro-batches, as a table."""
+    root, out = new_folder(spark, "topics"), new_folder(spark, "candidates")
+    rows = fx.candidates(spark, sf_dir)
+    records = topic_rows(rows, "candidate_id", vocab.CANDIDATE_TOPIC)
+    for _ in range(3):
+        records.repartition(2, "key").write.mode("append").parquet(f"{root}/{vocab.CANDIDATE_TOPIC}")
+    own = jobs.stream_session(spark, STREAM_PARTITIONS)
+    source = TopicSource(format="parquet", root=root, options={"maxFilesPerTrigger": "2"})
+    sizes = []
+    running = tables.start_table_load(
+        own, source, vocab.CANDIDATE_TOPIC, schemas.CANDIDATE, "candidate_id", f"{out}/table",
+        f"{out}/checkpoint", counted(record_batches(f"{out}/records"), lambda batch, n: sizes.append(n)),
+        trigger={"availableNow": True},
+    )
+    running.awaitTermination()
+    loaded = spark.read.parquet(f"{out}/table").drop("batch_id")
+    delivered = F.lit(sum(sizes)).cast("bigint").alias("delivered")
+    return _text(loaded, "timestamp").select("candidate_id", "name", "seniority", "timestamp", delivered)
+
+
 @query
 def stream_kpi(spark, sf_dir):
     """The counted indicators of an application stream, after its last refresh."""

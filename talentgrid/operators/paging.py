@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 PAGE_SIZES = (10, 25, 50, 100)
 
@@ -22,8 +22,9 @@ def page(
 ) -> DataFrame:
     """Page ``number`` (from 1) of the sorted table.
 
-    Offset and limit over a sort become a distributed top-k: each task keeps the
-    first ``number * size`` rows at most and nobody sorts or numbers the table.
+    Offset and limit over a sort become a distributed top-k: each task keeps the first
+    ``number * size`` rows at most, and one task merges them.  For deep pages use
+    :func:`page_after`.
     """
     return sort_rows(table, field, ascending, key).offset((number - 1) * size).limit(size)
 
@@ -35,17 +36,42 @@ def page_count(table: DataFrame, size: int = PAGE_SIZES[0]) -> DataFrame:
     )
 
 
+def page_after(
+    table: DataFrame, field: str, key: str, last: tuple, size: int = PAGE_SIZES[0], ascending: bool = True
+) -> DataFrame:
+    """The page that follows a row with the values ``last`` of (field, key).
+
+    However deep the page, each task keeps ``size`` rows; :func:`page` keeps as many as lie
+    before its end.  NULLs of the field come last; ``last[0]`` may be None.
+    """
+    value, at = last
+    here = F.col(field).eqNullSafe(F.lit(value)) & (F.col(key) > at)
+    if value is None:
+        beyond = F.lit(False)
+    else:
+        beyond = (F.col(field) > value if ascending else F.col(field) < value) | F.col(field).isNull()
+    return sort_rows(table.filter(here | beyond), field, ascending, key).limit(size)
+
+
 def numbered_pages(
-    table: DataFrame, field: str, key: str, rows: int, size: int = PAGE_SIZES[0], ascending: bool = True
+    table: DataFrame, field: str, key: str, size: int = PAGE_SIZES[0], ascending: bool = True
 ) -> DataFrame:
-    """The first ``rows`` sorted rows with ``row`` and ``page`` numbers.
+    """All rows with ``row`` and ``page`` numbers in the sorted order.
 
-    Numbering needs all its rows in one task; the limit that comes first bounds them.
+    The sort deals ranges to tasks; a row's number is its place in its task plus the rows of
+    the tasks before.  Only these counts, one a task, go through the driver, and the sorted
+    rows are checkpointed, so that counts and places speak of the same tasks.
     """
-    order = Window.orderBy(*_order(field, ascending, key))
-    return (
-        sort_rows(table, field, ascending, key)
-        .limit(rows)
-        .withColumn("row", F.row_number().over(order))
-        .withColumn("page", F.ceil(F.col("row") / size).cast("int"))
+    places = sort_rows(table, field, ascending, key).checkpoint().select(
+        "*", F.spark_partition_id().alias("_task"), F.monotonically_increasing_id().alias("_place")
+    )
+    counts = sorted(places.groupBy("_task").count().collect())
+    before, offsets = 0, []
+    for task, rows in counts:
+        offsets += [F.lit(task), F.lit(before)]
+        before += rows
+    offset = F.create_map(*offsets)[F.col("_task")] if offsets else F.lit(0)
+    row = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)) + offset.cast("bigint") + 1
+    return places.withColumn("row", row).withColumn("page", F.ceil(F.col("row") / size).cast("bigint")).drop(
+        "_task", "_place"
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from talentgrid import schemas, vocab
 from talentgrid.operators import matching as m
 from talentgrid.operators.matching import MatchOptions
-from tests import rules
+from harness import rules
 
 START = dt.datetime(2024, 1, 1)
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from talentgrid import vocab
 from talentgrid.functions import bands, draws, experience, levels, lookup, scoring
-from tests import rules
+from harness import rules
 
 TEXTS = [None, "", "0 years", "3 years", "3-5 years", "10+ years", "5 to 7 years", "3-", "+", " 3-5 YEARS ",
          "1-2-3 years", "years", "12-15 years"]
