@@ -93,7 +93,7 @@ def train(lines: DataFrame) -> Model:
     after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("role").alias("next"))
     follow = turns.join(after, ["conv_id", "turn"]).groupBy("last", "next").agg(F.count(F.lit(1)).alias("n"))
     inside = known.select(
-        "conv_id", "turn", (F.col("line_no") + 1).alias("line_no"), F.xxhash64("role").alias("r"), F.col("state").alias("before")
+        "conv_id", "turn", (F.col("line_no") + 1).alias("line_no"), F.col("state").alias("before")
     ).dropDuplicates(["conv_id", "turn", "line_no"]).join(
         known.select("conv_id", "turn", "line_no", "state"), ["conv_id", "turn", "line_no"]
     ).groupBy("before", "state").agg(F.count(F.lit(1)).alias("n"))

@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -254,6 +255,6 @@ def accepted(docs: DataFrame, model: Model, least_score: float) -> DataFrame:
     @F.pandas_udf("double")
     def score(texts):
         found = (model.predict(text) for text in texts)
-        return texts.__class__([s if lang != UNKNOWN else -1.0 for lang, s in found], dtype=float)
+        return pd.Series([chance if lang != UNKNOWN else -1.0 for lang, chance in found], dtype=float)
 
     return plain.filter(score(F.col(names["text"])) >= least_score).toDF(*docs.columns)

@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -230,8 +231,6 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 data = b""
                 if inflated and (row := parsed(inflated)):
                     rows.append(row)
-        import pandas as pd
-
         return pd.DataFrame(rows, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
 
     whole = source.mapInArrow(records, SCHEMA)
