@@ -291,8 +291,11 @@ def continent_mix(spark, sf_dir):
 
 @query
 def conformity_report(spark, sf_dir):
+    terms = spark.createDataFrame(
+        [(category, word) for category, words in fx.SKILL_VOCABULARY.items() for word in words], "category string, term string"
+    )
     return quality.conformity_report(
-        fx.posts(spark, sf_dir), fx.candidates(spark, sf_dir), fx.SKILL_VOCABULARY, fx.CERT_VOCABULARY
+        fx.posts(spark, sf_dir), fx.candidates(spark, sf_dir), terms, fx.CERT_VOCABULARY
     )
 
 

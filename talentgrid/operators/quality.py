@@ -4,28 +4,49 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from talentgrid import vocab
 from talentgrid.functions import experience, levels
-from talentgrid.functions.lookup import lookup
 
 Rules = dict[str, Column]
-#: category -> terms; a dimension of a thousand words or so, held in the plan as a literal
-Vocabulary = Mapping[str, Sequence[str]]
+#: category -> terms, or a table (category, term), which may be of any size
+Vocabulary = Mapping[str, Sequence[str]] | DataFrame
+
+
+def _terms(spark: SparkSession, vocabulary: Vocabulary, name: str) -> DataFrame:
+    """(rule_category, <name>): the terms of each category as one list."""
+    if isinstance(vocabulary, DataFrame):
+        return vocabulary.groupBy(F.col("category").alias("rule_category")).agg(F.collect_set("term").alias(name))
+    rows = [(category, list(words)) for category, words in vocabulary.items()]
+    return spark.createDataFrame(rows, f"rule_category string, {name} array<string>")
+
+
+def with_category_rules(records: DataFrame, category: str, skills: Vocabulary, certificates: Vocabulary) -> DataFrame:
+    """Join what the list rules ask of a record's category, once for each record.
+
+    Adds fewest, most, skill_count, known_skills and known_certificates; NULL where nothing is
+    known of the category.  Whether the dimension is broadcast is left to its size.
+    """
+    spark = records.sparkSession
+    ranges = [(name, *bounds) for name, bounds in vocab.CERTIFICATE_RANGES.items()]
+    counts = list(vocab.SKILL_COUNTS.items())
+    rules = (
+        spark.createDataFrame(ranges, "rule_category string, fewest int, most int")
+        .join(spark.createDataFrame(counts, "rule_category string, skill_count int"), "rule_category", "full")
+        .join(_terms(spark, skills, "known_skills"), "rule_category", "full")
+        .join(_terms(spark, certificates, "known_certificates"), "rule_category", "full")
+    )
+    return records.join(rules, F.col(category) == F.col("rule_category"), "left")
 
 
-def _list_rules(category: str, skills: str, known_skills: Vocabulary, known_certificates: Vocabulary) -> Rules:
-    """Rules on the skill and certificate lists."""
-    fewest = lookup({name: low for name, (low, _) in vocab.CERTIFICATE_RANGES.items()}, F.col(category))
-    most = lookup({name: high for name, (_, high) in vocab.CERTIFICATE_RANGES.items()}, F.col(category))
+def _list_rules(skills: str) -> Rules:
+    """Rules on the skill and certificate lists of records ``with_category_rules``."""
     return {
-        "certificate count in range": F.size("certifications").between(fewest, most),
-        "skill count exact": F.size(skills) == lookup(vocab.SKILL_COUNTS, F.col(category)),
-        "skills in vocabulary": F.size(F.array_except(F.col(skills), lookup(known_skills, F.col(category)))) == 0,
-        "certificates in vocabulary": F.size(
-            F.array_except(F.col("certifications"), lookup(known_certificates, F.col(category)))
-        ) == 0,
+        "certificate count in range": F.size("certifications").between(F.col("fewest"), F.col("most")),
+        "skill count exact": F.size(skills) == F.col("skill_count"),
+        "skills in vocabulary": F.size(F.array_except(skills, "known_skills")) == 0,
+        "certificates in vocabulary": F.size(F.array_except("certifications", "known_certificates")) == 0,
     }
 
 
@@ -38,12 +59,12 @@ def _level_rules(level: str, salary: str, years: str) -> Rules:
     }
 
 
-def post_rules(skills: Vocabulary, certificates: Vocabulary) -> Rules:
+def post_rules() -> Rules:
     """Rule name -> condition on a post; NULL where the rule says nothing about a row."""
     days = F.datediff("deadline", "post_date")
     return {
         "deadline after posting": days.between(*vocab.DEADLINE_DAYS),
-        **_list_rules("category", "skills_needed", skills, certificates),
+        **_list_rules("skills_needed"),
         **_level_rules("detailed_experience_level", "salary", "years_experience"),
         "employment allowed for level": F.array_contains(
             levels.allowed_employment(levels.seniority_from_title(F.col("job_title"))),
@@ -55,14 +76,14 @@ def post_rules(skills: Vocabulary, certificates: Vocabulary) -> Rules:
     }
 
 
-def candidate_rules(skills: Vocabulary, certificates: Vocabulary) -> Rules:
+def candidate_rules() -> Rules:
     """Rule name -> condition on a candidate."""
     text = F.col("experience_range")
     fewest, most = experience.employer_range(experience.years_for_employers(text))
     since = vocab.RULE_YEAR - F.col("graduation_year") - experience.most_years(text)
     birth = F.col("date_of_birth").try_cast("int")
     return {
-        **_list_rules("job_category", "skills", skills, certificates),
+        **_list_rules("skills"),
         **_level_rules("seniority", "current_salary", "experience_range"),
         "employers in range": F.when(
             text.isNotNull(), F.size("previous_companies").between(fewest, most)
@@ -99,6 +120,8 @@ def conformity_report(
     posts: DataFrame, candidates: DataFrame, skills: Vocabulary, certificates: Vocabulary
 ) -> DataFrame:
     """Pass and fail counts of every rule over both tables."""
-    return _report(posts, post_rules(skills, certificates), "job_posts").unionAll(
-        _report(candidates, candidate_rules(skills, certificates), "candidate_info")
+    posts = with_category_rules(posts, "category", skills, certificates)
+    candidates = with_category_rules(candidates, "job_category", skills, certificates)
+    return _report(posts, post_rules(), "job_posts").unionAll(
+        _report(candidates, candidate_rules(), "candidate_info")
     )
