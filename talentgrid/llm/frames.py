@@ -30,7 +30,17 @@ def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return df.toDF(*names), new
 
 
+#: Rows that a Python worker gets at once: texts are long, and workers share an executor's memory.
+BATCH_ROWS = 256
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder; from then on the session hands workers small batches."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
