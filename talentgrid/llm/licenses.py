@@ -106,16 +106,17 @@ def scan(
     starts = {text.split()[0] for text in phrases}
     places = texts.select("doc_id", "text_key", "words", F.posexplode("words").alias("place", "word"))
 
+    # phrases and index are as large as the given templates, whatever the documents
     phrase_rows = [(text.split()[0], label, text.split()) for text, label in phrases.items()]
     phrase_table = spark.createDataFrame(phrase_rows, "word string, label string, phrase array<string>")
-    base = places.filter(F.col("word").isin(sorted(starts))).join(phrase_table, "word").filter(
+    base = places.filter(F.col("word").isin(sorted(starts))).join(F.broadcast(phrase_table), "word").filter(
         F.slice("words", F.col("place") + 1, F.size("phrase")) == F.col("phrase")
     ).select("doc_id", "text_key", "place", F.lit(True).alias("base"), "label", F.lit(1.0).alias("share"))
 
     index_table = spark.createDataFrame(
         index, "word string, label string, needed int, size int, template array<string>, later array<string>"
     )
-    near = places.filter(F.col("word").isin(sorted({row[0] for row in index}))).join(index_table, "word")
+    near = places.filter(F.col("word").isin(sorted({row[0] for row in index}))).join(F.broadcast(index_table), "word")
     last = F.floor(F.col("place") / step)
     near = near.withColumn("block", F.explode(F.array_distinct(F.array(last, F.greatest(last - 1, F.lit(0))))))
     held = F.array_distinct(F.slice("words", (F.col("block") * step + 1).cast("int"), F.lit(block)))
