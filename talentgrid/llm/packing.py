@@ -18,7 +18,6 @@ partition or document, and costs at most one partly filled sequence a stretch.
 
 from __future__ import annotations
 
-import json
 import re
 from array import array
 from bisect import bisect_left
@@ -38,9 +37,11 @@ CUT_SENTENCE, CUT_INSIDE = 4, 40
 #: Tokens planned at once.
 STRETCH = 1 << 19
 #: Words whose ids a worker remembers, and their length.
-REMEMBERED, REMEMBERED_CHARS = 700_000, 64
+REMEMBERED, REMEMBERED_CHARS = 400_000, 64
 #: Characters of a text handled at once.
 AT_ONCE = 1 << 20
+#: A character that is a token of its own; it parts words that are encoded together.
+GAP = "\x02"
 #: Last characters of a token that ends a sentence.
 SENTENCE_ENDS = ".!?…"
 SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -55,35 +56,49 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.parted = Tokenizer.from_file(path)  # takes the string of a special token as that token
-        special = json.loads(self.parted.to_str())["added_tokens"]
-        self.mark, self.marks = special[0]["content"], [token["content"] for token in special]
-        self.mark_id = self.parted.token_to_id(self.mark)
+        self.mark_ids = {
+            end: array("I", self.tokenizer.encode(end, add_special_tokens=False).ids).tobytes() for end in ("", ".", ",")
+        }
+        (gap_id,) = self.tokenizer.encode(GAP, add_special_tokens=False).ids
         self.split = regex.compile(r"\S+").findall
         self.gap = regex.compile(r"\s")
         self.known: dict[str, bytes] = {}
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        self.ends_word = np.array([token.endswith("</w>") for token in tokens])
+        self.is_gap = np.arange(len(tokens)) == gap_id
         ends = {self.tokenizer.encode(c, add_special_tokens=False).ids[-1] for c in SENTENCE_ENDS}
         self.ends_sentence = np.array([
             i in ends or token.removesuffix("</w>")[-1:] in (".", "!", "?") for i, token in enumerate(tokens)
         ])
 
     def _learn(self, words: list[str]) -> None:
-        """Encode words, parted by a special token, which gives each what it gets alone."""
-        plain, text = words, self.mark.join(words)
-        if sum(map(text.count, self.marks)) >= len(words):  # a word holds such a string itself
-            plain = [word for word in words if not any(mark in word for mark in self.marks)]
-            text = self.mark.join(plain)
-        (found,) = self.parted.encode_batch_fast([text], add_special_tokens=False)
-        ids = np.array(found.ids, "<u4")
-        cuts = np.flatnonzero(ids == self.mark_id)
-        starts, raw = [0, *(cuts + 1).tolist()], ids.tobytes()
-        if plain:
-            ends = [*cuts.tolist(), len(ids)]
-            self.known.update((word, raw[4 * i:4 * j]) for word, i, j in zip(plain, starts, ends))
-        for word in set(words) - set(plain) if plain is not words else ():
+        """Encode words: those of letters only in one text, as each ends one piece, others alike
+        but parted by a word of one control character.
+        """
+        plain = [word for word in words if word.isalpha()]
+        if not self._cut(plain, " ", self.ends_word):
+            plain = []
+        others = [word for word in words if not word.isalpha() or not plain]
+        for word in [word for word in others if GAP in word]:
             found = self.tokenizer.encode(word, add_special_tokens=False).ids
             self.known[word] = array("I", found).tobytes()
+        self._cut([word for word in others if GAP not in word], f" {GAP} ", self.is_gap)
+
+    def _cut(self, words: list[str], between: str, marks: np.ndarray) -> bool:
+        """Encode words in one text and cut the ids at marked ones; False if these don't fit."""
+        if not words:
+            return True
+        (found,) = self.tokenizer.encode_batch_fast([between.join(words)], add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        cuts = np.flatnonzero(marks[ids])
+        raw, width = ids.tobytes(), int(between == " ")
+        starts, ends = [0, *(cuts + 1).tolist()], (cuts + width).tolist()
+        if width == 0:
+            ends.append(len(ids))
+        if len(ends) != len(words):
+            return False
+        self.known.update((word, raw[4 * i:4 * j]) for word, i, j in zip(words, starts, ends))
+        return True
 
     def ids(self, text: str | None) -> bytes:
         """Ids without special tokens, as little-endian unsigned 32-bit integers.
@@ -103,7 +118,11 @@ class Words:
                 if len(known) + len(new) > REMEMBERED:
                     known.clear()
                     new = set(words)
-                self._learn(list(new))
+                forms = {word: stem(word) for word in new}
+                if unknown := {form for form, _ in forms.values() if form not in known}:
+                    self._learn(list(unknown))
+                mark = self.mark_ids
+                known.update((word, known[form] + mark[end]) for word, (form, end) in forms.items())
             parts.append(b"".join([known[word] for word in words]))
             for word in new:
                 if len(word) > REMEMBERED_CHARS:
@@ -111,6 +130,16 @@ class Words:
         return b"".join(parts)
 
 
+def stem(word: str) -> tuple[str, str]:
+    """A form of the word with the same ids, less a last point or comma, and that mark.
+
+    Such a mark after a letter or digit is a token of its own, and case doesn't matter.
+    """
+    end = word[-1] if word[-1] in ".," and word[-2:-1].isalnum() else ""
+    form = word[:-1] if end else word
+    return (form.lower() if form.isascii() else form), end
+
+
 @lru_cache(maxsize=2)
 def words_of(path: str) -> Words:
     return Words(path)
