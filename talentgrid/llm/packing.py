@@ -19,6 +19,7 @@ partition or document, and costs at most one partly filled sequence a stretch.
 from __future__ import annotations
 
 import re
+import unicodedata
 from array import array
 from bisect import bisect_left
 from collections import deque
@@ -133,13 +134,22 @@ class Words:
 def stem(word: str) -> tuple[str, str]:
     """A form of the word with the same ids, less a last point or comma, and that mark.
 
-    Such a mark after a letter or digit is a token of its own, and case doesn't matter.
+    Such a mark is a token of its own after what the tokenizer's normaliser (NFC, lower-casing)
+    leaves as a letter or digit, and case doesn't matter.  Some letters become a letter and a
+    combining mark, which the tokenizer joins with the point or comma.
     """
-    end = word[-1] if word[-1] in ".," and word[-2:-1].isalnum() else ""
+    end = word[-1] if word[-1] in ".," and ends_alnum(word[:-1]) else ""
     form = word[:-1] if end else word
     return (form.lower() if form.isascii() else form), end
 
 
+def ends_alnum(word: str) -> bool:
+    """True if the word's last character is a letter or digit, also after NFC and lower-casing."""
+    if not word[-1:].isalnum():
+        return False
+    return word[-1].isascii() or unicodedata.normalize("NFC", word).lower()[-1].isalnum()
+
+
 @lru_cache(maxsize=2)
 def words_of(path: str) -> Words:
     return Words(path)

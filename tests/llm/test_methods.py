@@ -56,6 +56,23 @@ def test_word_ids_equal_the_library(spark, sf_dir):
         assert np.frombuffer(words.ids(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_marks_after_letters_that_decompose_equal_the_library():
+    library = Tokenizer.from_file(WORDS)
+    library.encode_special_tokens = True
+    words = packing.words_of(WORDS)
+    ranges = [
+        (0x130,), range(0x958, 0x960), (0x9DC, 0x9DD, 0x9DF, 0xA33, 0xA36), range(0xA59, 0xA5C), (0xA5E, 0xB5C, 0xB5D),
+        (0xF43, 0xF4D, 0xF52, 0xF57, 0xF5C, 0xF69, 0xFB1D, 0xFB1F), range(0xFB2A, 0xFB37), range(0xFB38, 0xFB3D),
+        (0xFB3E, 0xFB40, 0xFB41, 0xFB43, 0xFB44), range(0xFB46, 0xFB4F),
+    ]
+    letters = [chr(code) for codes in ranges for code in codes]
+    assert len(letters) == 60
+    texts = [f"{before}{letter}{mark}" for letter in letters for mark in ".," for before in ("", "\u09b9", "ab ")]
+    for text in [*texts, "é. ß, 中. ٣. ½, Σ. a\u0301. \u1100\u1161."]:
+        assert np.frombuffer(words.ids(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(words.ids("\u09b9\u09df."), "<u4").tolist()[-3:] == [11322, 120, 269]
+
+
 def test_window_plan_costs_least():
     chance = random.Random(3)
     for _ in range(200):
