@@ -49,14 +49,21 @@ SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 class Words:
-    """Ids of a text by a tokenizers file that treats white space as a separator only."""
+    """Ids of a text by a tokenizers file that treats white space as a separator only.
 
-    def __init__(self, path: str):
+    With ``special``, the string of a special token in a text is that token, as the library's
+    plain call has it; else it is text like any other.
+    """
+
+    def __init__(self, path: str, special: bool = False):
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        added = self.tokenizer.get_added_tokens_decoder().values() if special else ()
+        # in lower case: only a word as it stands tells whether it holds the token
+        self.special = [token.content.lower() for token in added]
         self.mark_ids = {
             end: array("I", self.tokenizer.encode(end, add_special_tokens=False).ids).tobytes() for end in ("", ".", ",")
         }
@@ -119,7 +126,15 @@ class Words:
                 if len(known) + len(new) > REMEMBERED:
                     known.clear()
                     new = set(words)
-                forms = {word: stem(word) for word in new}
+                plain = new
+                lower = part.lower() if self.special else ""
+                if some := [string for string in self.special if string in lower]:
+                    whole = [word for word in new if any(string in word.lower() for string in some)]
+                    for word in whole:
+                        found = self.tokenizer.encode(word, add_special_tokens=False).ids
+                        known[word] = array("I", found).tobytes()
+                    plain = new.difference(whole)
+                forms = {word: stem(word) for word in plain}
                 if unknown := {form for form, _ in forms.values() if form not in known}:
                     self._learn(list(unknown))
                 mark = self.mark_ids
@@ -151,8 +166,8 @@ def ends_alnum(word: str) -> bool:
 
 
 @lru_cache(maxsize=2)
-def words_of(path: str) -> Words:
-    return Words(path)
+def words_of(path: str, special: bool = False) -> Words:
+    return Words(path, special)
 
 
 def plan(places: list[int], penalties: list[int], limit: int) -> list[int]:
@@ -211,14 +226,15 @@ def pack(docs: DataFrame, tokenizer_path: str, limit: int = 2048, end_id: int =
     """One row for each piece of a document that lies in one sequence.
 
     Columns: doc_id, start (the document's ids before the piece), length, ids (binary,
-    little-endian unsigned 32-bit), doc_tokens (all ids of the document, with ``end_id``, which
+    little-endian unsigned 32-bit; those of the library's plain call, where a special token's
+    string in a text is that token), doc_tokens (all ids of the document, with ``end_id``, which
     ends each one), sequence_id and offset (place in the sequence, gapless from 0).  Sequences
     follow the order of rows in a partition and never cross partitions.  A null or empty text
     is its end id alone.  Repeated rows are packed again; a null doc_id stays null; other
     columns are not returned.
     """
     def work(batches):
-        words = words_of(tokenizer_path)
+        words = words_of(tokenizer_path, special=True)
         partition, made = TaskContext.get().partitionId(), 0
         held: list[tuple] = []  # (doc_id, start, ids of this part, doc_tokens)
         tokens = 0

@@ -73,6 +73,21 @@ def test_marks_after_letters_that_decompose_equal_the_library():
     assert np.frombuffer(words.ids("\u09b9\u09df."), "<u4").tolist()[-3:] == [11322, 120, 269]
 
 
+def test_packed_ids_equal_the_plain_call(spark):
+    library = Tokenizer.from_file(WORDS)
+    texts = [
+        "a <|endoftext|> b", "a<|endoftext|>b. <|endoftext|>, <|startoftext|>.", "<|ENDOFTEXT|> <|endofTEXT|>x.",
+        "<|endoftext|><|endoftext|> a\x02<|endoftext|>\x02", "e<|endoftext|>\u0301.", "<|endoftext| > plain text.",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {}
+    for row in sorted(packing.pack(docs, WORDS).collect(), key=lambda r: (r.doc_id, r.start)):
+        found.setdefault(row.doc_id, []).extend(np.frombuffer(row.ids, "<u4").tolist())
+        assert row.doc_tokens == len(library.encode(texts[row.doc_id], add_special_tokens=False).ids) + 1
+    assert found == {i: [*library.encode(text, add_special_tokens=False).ids, 1] for i, text in enumerate(texts)}
+    assert found[0] == [320, 49407, 321, 1]
+
+
 def test_window_plan_costs_least():
     chance = random.Random(3)
     for _ in range(200):
