@@ -16,8 +16,6 @@ from talentgrid.llm.frames import checkpointed, numbered, pick
 
 #: Places of the hashed n-grams.
 BUCKETS = 1 << 17
-#: Labelled documents that the target is counted on, at most (their ids are broadcast).
-TRUSTED = 50_000
 #: Least mean log ratio of a document that is kept.
 THRESHOLD = -0.2
 #: Added to the found and to the expected count of a bucket, so that rare ones say little.
@@ -54,18 +52,21 @@ def bucket(value: Column) -> Column:
     return F.pmod(value, F.lit(BUCKETS)).cast("int")
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, most_trusted: int = TRUSTED) -> DataFrame:
+def log_ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row: ``ratios``, for each bucket the log of its target share over its raw share.
 
-    The target holds the documents labelled quality 1 and not toxic; of more than ``most_trusted``
-    such ids those with the smallest hashes.  The raw counts cover all documents.  A bucket that
+    The target holds all documents labelled quality 1 and not toxic, the raw counts all documents.  A bucket that
     is as frequent in both, or in neither, has ratio 0; without a target all have.
     """
     trusted = pick(labels, "doc_id", "quality", "toxic").filter(
         "quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null"
     ).select("doc_id").distinct()
-    trusted = trusted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_trusted).withColumn("good", F.lit(1))
-    texts = pick(docs, "doc_id", "text").join(F.broadcast(trusted), "doc_id", "left")
+    # rows without id find no label; a number from their text spreads them over the tasks
+    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("bigint"))
+    trusted = trusted.withColumns({"spread": F.lit(0).cast("bigint"), "good": F.lit(1)})
+    texts = pick(docs, "doc_id", "text").withColumn("spread", spread)
+    # the ids of a task are few next to its texts, which needn't be sorted then
+    texts = texts.join(trusted.hint("shuffle_hash"), ["doc_id", "spread"], "left")
     grams = with_hashes(texts, "text").select(
         F.coalesce("good", F.lit(0)).alias("good"), F.explode(F.concat("one", "two")).alias("gram")
     )

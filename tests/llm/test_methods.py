@@ -168,6 +168,13 @@ def test_log_ratios_by_hand(spark):
     assert len(ratios) == quality.BUCKETS
 
 
+def test_target_holds_every_trusted_document(spark):
+    docs = spark.range(60_000).selectExpr("id AS doc_id", "concat('w', id) AS text")
+    labels = docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+    ratios = quality.log_ratios(docs, labels).first().ratios  # the target is the whole corpus
+    assert max(map(abs, ratios)) < 1e-6
+
+
 def closure(fps, ids, limit=4):
     """Smallest id reachable for each fingerprint, by comparing all."""
     distinct = sorted(set(fps))
