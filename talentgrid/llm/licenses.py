@@ -1,7 +1,7 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block is BLOCK consecutive words of a text; blocks start every half block, so any passage of up
-to half a block and a word lies wholly in one.  A block matches a template if it holds at least
+A block is BLOCK consecutive words of a text, or twice the words of a longer template; blocks start
+every half block, so any passage of up to half a block and a word lies wholly in one.  A block matches a template if it holds at least
 the share THRESHOLD of the template's distinct words.  All matches are found, without looking at
 most blocks:
 
@@ -63,22 +63,24 @@ def corpus_counts(texts: DataFrame, words: list[str]) -> dict[str, int]:
     return {row.word: row.n for row in found.groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
-def prefix_index(templates: list[tuple[str, str]], counts: dict[str, int], threshold: float) -> list[tuple]:
-    """(word, label, needed, size, template, later): the prefix words of each template.
+def prefix_index(
+    templates: list[tuple[str, str]], counts: dict[str, int], threshold: float, block: int = BLOCK
+) -> list[tuple]:
+    """(word, label, needed, size, template, later, length): the prefix words of each template.
 
     ``template`` are its distinct words, ``later`` all templates' words that are no rarer than the
-    prefix word.  The index is as large as the given templates.
+    prefix word, ``length`` is that of its blocks.  The index is as large as the given templates.
     """
-    sets = [(label, set(text.split())) for label, text in templates]
-    order = sorted(set().union(*[words for _, words in sets]), key=lambda word: (counts.get(word, 0), word))
+    sets = [(label, set(text.split()), max(block, 2 * len(text.split()))) for label, text in templates]
+    order = sorted(set().union(*[words for _, words, _ in sets]), key=lambda word: (counts.get(word, 0), word))
     rank = {word: place for place, word in enumerate(order)}
     rows = []
-    for label, words in sets:
+    for label, words, length in sets:
         own = sorted(words, key=rank.__getitem__)
         needed = ceil(round(threshold * len(own), 9))
         for place, word in enumerate(own[:len(own) - needed + 1]):
             if len(own) - place >= needed:
-                rows.append((word, label, needed, len(own), own, order[rank[word]:]))
+                rows.append((word, label, needed, len(own), own, order[rank[word]:], length))
     return rows
 
 
@@ -92,17 +94,18 @@ def scan(
     first and last of these (words from 0; null without any), ``base_labels`` the phrases'
     labels.  ``labels`` adds those of templates that some block matches, and ``score`` is the
     greatest share of a template's words in one block, 0 if none reaches the threshold; a phrase
-    counts as a template that it fills.  A null text counts as empty.  Repeated rows stay.
+    counts as a template that it fills.  A block has ``block`` words, or for a template of more than
+    half as many words twice the template's, so that none is lost between blocks.  A null text counts as empty.  Repeated rows stay.
     """
     templates = TEMPLATES if templates is None else templates
     phrases = PHRASES if phrases is None else phrases
-    spark, step = docs.sparkSession, block // 2
+    spark = docs.sparkSession
     # rows of one id and text have one result, so these two make the key of the join below
     texts = pick(docs, "doc_id", "text").select(
         "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), words_of(F.col("text")).alias("words")
     )
     counts = corpus_counts(texts, sorted({word for _, text in templates for word in text.split()}))
-    index = prefix_index(templates, counts, threshold)
+    index = prefix_index(templates, counts, threshold, block)
     starts = {text.split()[0] for text in phrases}
     places = texts.select("doc_id", "text_key", "words", F.posexplode("words").alias("place", "word"))
 
@@ -114,12 +117,13 @@ def scan(
     ).select("doc_id", "text_key", "place", F.lit(True).alias("base"), "label", F.lit(1.0).alias("share"))
 
     index_table = spark.createDataFrame(
-        index, "word string, label string, needed int, size int, template array<string>, later array<string>"
+        index, "word string, label string, needed int, size int, template array<string>, later array<string>, length int"
     )
     near = places.filter(F.col("word").isin(sorted({row[0] for row in index}))).join(F.broadcast(index_table), "word")
+    step = F.floor(F.col("length") / 2)
     last = F.floor(F.col("place") / step)
     near = near.withColumn("block", F.explode(F.array_distinct(F.array(last, F.greatest(last - 1, F.lit(0))))))
-    held = F.array_distinct(F.slice("words", (F.col("block") * step + 1).cast("int"), F.lit(block)))
+    held = F.array_distinct(F.slice("words", (F.col("block") * step + 1).cast("int"), F.col("length")))
     near = near.select("doc_id", "text_key", "label", "needed", "size", "template", "later", held.alias("held"))
     near = near.filter(F.size("held") >= F.col("needed")).filter(
         F.size(F.array_intersect("held", "later")) >= F.col("needed")

@@ -15,7 +15,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 from harness.compare import duck, rows_of
-from talentgrid.llm import byte_bpe, chat, chunks, components, langid, packing, quality, simhash, warc
+from talentgrid.llm import byte_bpe, chat, chunks, components, langid, licenses, packing, quality, simhash, warc
 from talentgrid.llm.frames import checkpointed, new_folder, table
 from talentgrid.llm.queries import ORACLES, QUERIES, URL_RULES
 
@@ -388,6 +388,16 @@ def test_parts_decode_like_the_whole():
     assert chat.decode(model, seen[:20], None, edge) + chat.decode(model, seen[20:], edge, last) == whole
 
 
+def test_long_templates_lie_in_one_block(spark):
+    notice = " ".join(f"n{i}" for i in range(100))
+    templates = [("long", notice), ("short", "released under some license")]
+    texts = [" ".join(["x"] * k + [notice] + ["y"] * 50) for k in (0, 31, 64, 99, 100, 150)]
+    texts.append("released under " + "x " * 70 + "some license")  # too far apart for a block of 64 words
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: (r.labels, r.score) for r in licenses.scan(docs, templates, {"no phrase": "none"}).collect()}
+    assert found == {**{i: ("long", 1.0) for i in range(6)}, 6: ("", 0.0)}
+
+
 def test_url_rules_by_hand(spark):
     from talentgrid.llm import urls
 
