@@ -35,7 +35,7 @@ BITS = 64
 SAMPLE = 2048
 #: Cost of filing a row and of comparing a pair, in microseconds.
 FILE_COST, PAIR_COST = 1.0, 0.02
-#: Highest threshold of a part, and parts, that are considered.
+#: Highest threshold of a part, and parts, that are considered (more where a limit needs them).
 MOST_IN_PART, MOST_PARTS = 2, 8
 #: Rows of one value that one task compares at least before they are cut into blocks.
 BLOCK_ROWS = 1024
@@ -104,9 +104,11 @@ def allotted(sample: np.ndarray, n: int, limit: int) -> tuple[list[int], list[in
     if not len(sample):
         return [mask_of(list(range(BITS)))], [0]
     best = (float("inf"), [], [])
+    limit = min(limit, BITS)  # no two differ in more
+    needed = -(-(limit + 1) // (MOST_IN_PART + 1))
     left, right = np.triu_indices(len(sample), 1)
     apart = sample[left] ^ sample[right]
-    for parts in range(1, min(limit + 1, MOST_PARTS) + 1):
+    for parts in range(1, max(min(limit + 1, MOST_PARTS), needed) + 1):
         groups = grouped_bits(sample, parts)
         costs = []
         for bits in groups:

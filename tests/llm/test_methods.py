@@ -248,6 +248,18 @@ def test_allotted_thresholds_cover_the_limit():
         assert all(a & b == 0 for i, a in enumerate(masks) for b in masks[:i])
 
 
+@pytest.mark.parametrize("limit", [23, 24, 30, 64])
+def test_large_limits_find_all_links(spark, limit):
+    chance = random.Random(limit)
+    prints = sorted({int(np.uint64(chance.getrandbits(64)).view(np.int64)) for _ in range(40)})
+    sample = np.array(prints, "<i8").view(np.uint64)
+    _, thresholds = simhash.allotted(sample, len(prints), limit)
+    assert sum(t + 1 for t in thresholds) == limit + 1
+    frame = checkpointed(spark.createDataFrame(list(enumerate(prints)), "doc_id long, fp long"))
+    found = {r.fp: r.component_id for r in simhash.grouped(frame, limit).collect()}
+    assert found == closure(prints, list(range(len(prints))), limit)
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(1000, 1300)] + [(5, 5), (3, 2), (2, 3)]
     frame = spark.createDataFrame(edges, "a long, b long")
