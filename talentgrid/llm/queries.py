@@ -10,7 +10,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talentgrid.llm import byte_bpe, chat, chunks, langid, licenses, packing, quality, simhash, urls, warc
+from talentgrid.llm import (
+    align, byte_bpe, chat, chunks, convnet, langid, licenses, packing, periodic, quality, simhash, urls, warc,
+)
 from talentgrid.llm.frames import new_folder, table
 
 QUERIES = {}
@@ -120,3 +122,20 @@ FROM digests LEFT JOIN firsts USING (payload_digest)
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = chat.transcripts(table(spark, sf_dir, "conversations"))
     return chat.rendered(chat.parse(lines, chat.train(lines)))
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align.scored(table(spark, sf_dir, "documents"), *files)
+
+
+@query
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return convnet.score(docs, convnet.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.find(periodic.planted(table(spark, sf_dir, "documents"))))
