@@ -6,9 +6,10 @@ windows of token ids; the alignment of a window depends on its two tuples of ids
 worker remembers it.  Offsets come from the lengths of the tokens' bytes and are used only after
 the joined bytes of both have been compared with the text.
 
-Corpus-wide counts of id pairs go through blocks: a task gathers documents up to BLOCK_LINKS links
+Corpus-wide counts of id pairs go through blocks: a task gathers documents up to BLOCK_CHARS characters
 (a longer document is a block of its own) and writes one row a block with its distinct pairs, how many
-of its documents hold each, and each document's pairs as indices into them.  Only distinct pairs of
+of its documents hold each, and each document's pairs as indices into them.  The windows of a
+block are made distinct and those not remembered are aligned together, by array operations.  Only distinct pairs of
 blocks are shuffled, to be counted and to fetch the counts.  A pair occurs once a block, so no key
 holds more rows than there are blocks, whatever pair is common.
 """
@@ -17,7 +18,8 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import sha256
 
@@ -32,12 +34,12 @@ from pyspark.sql.pandas.types import to_arrow_type
 from talentgrid.llm.byte_bpe import slices
 from talentgrid.llm.frames import new_folder, pick
 
-#: Links of a block, about.
-BLOCK_LINKS = 1 << 19
-#: Windows that a worker remembers (emptied when full), and the bytes of their ids, at most.
-REMEMBERED, REMEMBERED_BYTES = 400_000, 256
-#: Characters tokenised by one call.
-AT_ONCE = 1 << 20
+#: Characters of a block, at most, unless one text is longer.
+BLOCK_CHARS = 1 << 20
+#: Windows that a worker remembers (emptied when a block's new ones would exceed it), and the tokens of one, at most.
+REMEMBERED, REMEMBERED_TOKENS = 400_000, 64
+#: Tokens of either side of a window whose ids make up one number.
+NARROW = 4
 #: How the second tokenizer marks spaces, and its single bytes.
 SPACE, BYTE = "▁", re.compile(r"<0x([0-9A-F]{2})>")
 
@@ -52,18 +54,58 @@ def byte_letters() -> dict[str, int]:
 
 
 class Vocabulary:
-    """Bytes of the tokens of one tokenizer."""
+    """Bytes of the tokens of one tokenizer, and their ids as they are written inside and at the end of a group."""
 
-    def __init__(self, tokens: list[bytes]):
+    def __init__(self, tokens: list[bytes], end: str):
         self.tokens = tokens
         self.lengths = np.array([len(token) for token in tokens], np.int64)
-        self.sizes, self.names = self.lengths.tolist(), [str(i) for i in range(len(tokens))]
         self.spaced = np.array([token.startswith(b" ") for token in tokens])
+        self.written = [f"{i}{mark}" for i in range(len(tokens)) for mark in (",", end)]
 
     def spells(self, ids: list[int], text: bytes) -> bool:
         return b"".join(map(self.tokens.__getitem__, ids)) == text
 
 
+@dataclass
+class Block:
+    """The alignment of some texts: numbers of tokens, groups as text, and links.
+
+    ``pairs`` are the distinct linked ids (A id << 32 | B id), ascending; the links of all texts follow each
+    other as places among them, ``n_links`` of each text.
+    """
+
+    n_a: list[int]
+    n_b: list[int]
+    groups: list[str]
+    n_links: np.ndarray
+    pairs: np.ndarray
+    links: np.ndarray
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of consecutive items at ``starts``, as many each as ``sizes`` says."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def packed_ids(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The ids of windows of at most NARROW tokens as one number each, every id being below 2^16 - 1."""
+    ids = np.append(ids, 0).astype(np.uint64) + np.uint64(1)
+    keys = np.zeros(len(starts), np.uint64)
+    for k in range(NARROW):
+        held = sizes > k
+        keys[held] |= ids[starts[held] + k] << np.uint64(16 * k)
+    return keys
+
+
+def merged(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of either and values of both, for two ascending arrays without repeats."""
+    every = np.concatenate([left, right])
+    every.sort(kind="stable")  # merges the two runs
+    again = np.append(every[1:] == every[:-1], False)
+    return every[~again], every[again]
+
+
 class Aligner:
     """The tokenizers of a byte-level file (A) and a sentence-piece file (B), and their windows."""
 
@@ -77,87 +119,126 @@ class Aligner:
         self.b_encoder = SentencePieceProcessor(model_file=b_path)
         letters = byte_letters()
         plain = [self.a_encoder.id_to_token(i) or "" for i in range(self.a_encoder.get_vocab_size())]
-        self.a = Vocabulary([bytes(letters.get(c, 0) for c in token) for token in plain])
+        self.a = Vocabulary([bytes(letters.get(c, 0) for c in token) for token in plain], "|")
         pieces = [self.b_encoder.id_to_piece(i) for i in range(self.b_encoder.get_piece_size())]
         self.b = Vocabulary([
             bytes([int(found[1], 16)]) if (found := BYTE.fullmatch(piece)) else piece.replace(SPACE, " ").encode()
             for piece in pieces
-        ])
-        self.windows: dict[tuple[bytes, bytes], tuple[str, bytes]] = {}
-
-    def window(self, a_raw: bytes, b_raw: bytes) -> tuple[str, bytes]:
-        """Groups of a window as text and its links as 64-bit numbers (A id << 32 | B id)."""
-        a_ids, b_ids = array("I", a_raw), array("I", b_raw)
-        a_sizes, b_sizes, a_names, b_names = self.a.sizes, self.b.sizes, self.a.names, self.b.names
-        groups, links, i, j, i0, j0 = [], [], 0, 0, 0, 0
-        a_last, b_last = len(a_ids) - 1, len(b_ids) - 1
-        a_id, b_id = a_ids[0], b_ids[0]
-        ahead = a_sizes[a_id] - b_sizes[b_id]  # bytes by which A's token ends after B's
-        while True:
-            links.append(a_id << 32 | b_id)
-            if not ahead:
-                if i == i0 and j == j0:
-                    groups.append(f"{a_names[a_id]}|{b_names[b_id]}")
-                else:
-                    ours, theirs = a_ids[i0:i + 1], b_ids[j0:j + 1]
-                    groups.append(f"{','.join([a_names[x] for x in ours])}|{','.join([b_names[x] for x in theirs])}")
-                if i == a_last:
-                    break
-                i0 = i = i + 1
-                j0 = j = j + 1
-                a_id, b_id = a_ids[i], b_ids[j]
-                ahead = a_sizes[a_id] - b_sizes[b_id]
-            elif ahead < 0:
-                i += 1
-                a_id = a_ids[i]
-                ahead += a_sizes[a_id]
-            else:
-                j += 1
-                b_id = b_ids[j]
-                ahead -= b_sizes[b_id]
-        found = ";".join(groups), array("q", links).tobytes()
-        if len(a_raw) + len(b_raw) <= REMEMBERED_BYTES:
-            if len(self.windows) >= REMEMBERED:
-                self.windows.clear()
-            self.windows[a_raw, b_raw] = found
-        return found
-
-    def aligned(self, text: bytes, a_ids: list[int], b_ids: list[int]) -> tuple[int, int, str, bytes]:
-        """Token counts, groups and links of a text that begins with a space; none if its bytes differ."""
-        if not (self.a.spells(a_ids, text) and self.b.spells(b_ids, text)):
-            return 0, 0, "", b""
-        a, b = np.array(a_ids, "<u4"), np.array(b_ids, "<u4")
+        ], ";")
+        self.packs = max(len(plain), len(pieces)) < 0xFFFF
+        # ids of a window -> its groups as text, each closed by ";", and its links
+        self.windows: dict[tuple, tuple[str, bytes]] = {}
+
+    def tokens(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of each text by both; none for a null or empty one and one that they don't both spell."""
+        none = np.empty(0, np.int64)
+        a_found, b_found = [none] * len(texts), [none] * len(texts)
+        some = [k for k, text in enumerate(texts) if text]
+        spaced = [" " + texts[k] for k in some]
+        a_all = self.a_encoder.encode_batch_fast(spaced, add_special_tokens=False)
+        b_all = self.b_encoder.encode([texts[k] for k in some], num_threads=1)
+        for k, text, encoding, b_ids in zip(some, spaced, a_all, b_all):
+            raw, a_ids = text.encode(), encoding.ids
+            if self.a.spells(a_ids, raw) and self.b.spells(b_ids, raw):
+                a_found[k], b_found[k] = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
+        return a_found, b_found
+
+    def align(self, a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray) -> list[tuple[str, bytes]]:
+        """Groups and links of windows whose ids follow each other, ``a_sizes`` and ``b_sizes`` in each.
+
+        A link is a stretch between two neighbouring token ends of either side, a group one
+        between two ends that both sides share.
+        """
         a_ends, b_ends = np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b])
-        before_a = a_ends[:-1][self.a.spaced[a[1:]]]
-        before_b = b_ends[:-1][self.b.spaced[b[1:]]]
-        anchors = np.intersect1d(before_a, before_b, assume_unique=True)
-        a_cuts = [0, *(4 * (np.searchsorted(a_ends, anchors) + 1)).tolist(), 4 * len(a)]
-        b_cuts = [0, *(4 * (np.searchsorted(b_ends, anchors) + 1)).tolist(), 4 * len(b)]
-        a_raw, b_raw, known, make = a.tobytes(), b.tobytes(), self.windows.get, self.window
-        found = [
-            known(key) or make(*key)
-            for key in [
-                (a_raw[i:k], b_raw[j:m]) for i, k, j, m in zip(a_cuts, a_cuts[1:], b_cuts, b_cuts[1:])
-            ]
+        ends, shared = merged(a_ends, b_ends)
+        links = a[np.searchsorted(a_ends, ends)] << 32 | b[np.searchsorted(b_ends, ends)]
+        a_stops, b_stops = np.searchsorted(a_ends, shared) + 1, np.searchsorted(b_ends, shared) + 1
+        a_counts, b_counts = np.diff(a_stops, prepend=0), np.diff(b_stops, prepend=0)
+        # a group's ids of A, then those of B: each id goes behind all of the groups before
+        written = np.empty(len(a) + len(b), np.int64)
+        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a[a_stops - 1] = last_b[b_stops - 1] = 1
+        written[np.arange(len(a)) + np.repeat(b_stops - b_counts, a_counts)] = 2 * a + last_a
+        written[np.arange(len(b)) + np.repeat(a_stops, b_counts)] = 2 * (len(self.a.tokens) + b) + last_b
+        names, n_a = self.a.written, len(self.a.written)
+        texts = [names[k] if k < n_a else self.b.written[k - n_a] for k in written.tolist()]
+        window_ends = a_ends[np.cumsum(a_sizes) - 1]
+        text_stops = np.cumsum(a_sizes + b_sizes).tolist()
+        link_stops = (8 * (np.searchsorted(ends, window_ends) + 1)).tolist()
+        raw = links.astype("<i8").tobytes()
+        return [
+            ("".join(texts[i:j]), raw[k:m])
+            for i, j, k, m in zip([0, *text_stops], text_stops, [0, *link_stops], link_stops)
         ]
-        return len(a), len(b), ";".join([x for x, _ in found]), b"".join([y for _, y in found])
-
-    def texts(self, texts: list[str | None]) -> list[tuple[int, int, str, bytes]]:
-        """As ``aligned``, for each text."""
-        out, at = [(0, 0, "", b"")] * len(texts), 0
-        while at < len(texts):
-            some, size = [], 0
-            while at < len(texts) and (not some or size + len(texts[at] or "") <= AT_ONCE):
-                if texts[at]:
-                    some.append(at)
-                    size += len(texts[at])
-                at += 1
-            spaced = [" " + texts[k] for k in some]
-            a = self.a_encoder.encode_batch_fast(spaced, add_special_tokens=False)
-            b = self.b_encoder.encode([texts[k] for k in some], num_threads=1)
-            for k, text, a_found, b_ids in zip(some, spaced, a, b):
-                out[k] = self.aligned(text.encode(), a_found.ids, b_ids)
-        return out
+
+    def windows_of(self, a: np.ndarray, b: np.ndarray, a_cuts: np.ndarray, b_cuts: np.ndarray):
+        """(codes, found): which of the distinct windows ``found`` each window between the cuts is."""
+        a_sizes, b_sizes = np.diff(a_cuts), np.diff(b_cuts)
+        narrow = (a_sizes <= NARROW) & (b_sizes <= NARROW) if self.packs else np.zeros(len(a_sizes), bool)
+        where, codes = np.flatnonzero(narrow), np.empty(len(a_sizes), np.int64)
+        a_keys = packed_ids(a, a_cuts[where], a_sizes[where])
+        b_keys = packed_ids(b, b_cuts[where], b_sizes[where])
+        b_codes, b_known = pd.factorize(b_keys)
+        a_codes, _ = pd.factorize(a_keys)
+        codes[where], distinct = pd.factorize(a_codes * (len(b_known) + 1) + b_codes)
+        first = np.empty(len(distinct), np.int64)
+        first[codes[where][::-1]] = where[::-1]
+        place = np.searchsorted(where, first)
+        keys = list(zip(a_keys[place].tolist(), b_keys[place].tolist()))
+        firsts = first.tolist()
+        known: dict[tuple, int] = {}
+        a_raw, b_raw = a.astype("<u4").tobytes(), b.astype("<u4").tobytes()
+        for at in np.flatnonzero(~narrow).tolist():
+            key = a_raw[4 * a_cuts[at]:4 * a_cuts[at + 1]], b_raw[4 * b_cuts[at]:4 * b_cuts[at + 1]]
+            if key not in known:
+                known[key] = len(keys)
+                keys.append(key)
+                firsts.append(at)
+            codes[at] = known[key]
+        found = list(map(self.windows.get, keys))
+        missing = [k for k, held in enumerate(found) if held is None]
+        if missing:
+            at = np.array([firsts[k] for k in missing])
+            made = self.align(
+                a[spread(a_cuts[at], a_sizes[at])], b[spread(b_cuts[at], b_sizes[at])], a_sizes[at], b_sizes[at]
+            )
+            if len(self.windows) + len(made) > REMEMBERED:
+                self.windows.clear()
+            for k, new in zip(missing, made):
+                found[k] = new
+                if a_sizes[firsts[k]] + b_sizes[firsts[k]] <= REMEMBERED_TOKENS:
+                    self.windows[keys[k]] = new
+        return codes, found
+
+    def block(self, texts: list[str | None]) -> Block:
+        """The alignment of some texts; their ids are handled as one sequence, as a text's end is shared."""
+        a_ids, b_ids = self.tokens(texts)
+        n_a, n_b = np.array(list(map(len, a_ids)), np.int64), np.array(list(map(len, b_ids)), np.int64)
+        a, b = (np.concatenate([np.empty(0, np.int64), *ids]) for ids in (a_ids, b_ids))
+        if not len(a):
+            none = np.empty(0, np.int64)
+            return Block(n_a.tolist(), n_b.tolist(), [""] * len(texts), np.zeros(len(texts), np.int64), none, none)
+        a_ends, b_ends = np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b])
+        # every text begins with a space, so its begin is an anchor as well
+        before_a, before_b = (
+            (ends - v.lengths[ids])[v.spaced[ids]] for v, ids, ends in ((self.a, a, a_ends), (self.b, b, b_ends))
+        )
+        text_ends = a_ends[np.cumsum(n_a)[n_a > 0] - 1]
+        anchors, _ = merged(merged(before_a, before_b)[1], text_ends)
+        anchors = anchors[anchors > 0]
+        a_cuts = np.append(0, np.searchsorted(a_ends, anchors) + 1)
+        b_cuts = np.append(0, np.searchsorted(b_ends, anchors) + 1)
+        codes, found = self.windows_of(a, b, a_cuts, b_cuts)
+        stops = np.zeros(len(texts), np.int64)
+        stops[n_a > 0] = np.searchsorted(anchors, text_ends) + 1
+        stops = np.maximum.accumulate(stops)
+        names, listed = [groups for groups, _ in found], codes.tolist()
+        groups = ["".join([names[c] for c in listed[i:j]])[:-1] for i, j in zip([0, *stops.tolist()], stops.tolist())]
+        sizes = np.array([len(raw) // 8 for _, raw in found])
+        places, pairs = pd.factorize(np.frombuffer(b"".join([raw for _, raw in found]), "<i8"), sort=True)
+        n_links = np.diff(np.append(0, np.cumsum(sizes[codes]))[np.append(0, stops)])
+        links = places[spread((np.cumsum(sizes) - sizes)[codes], sizes[codes])]
+        return Block(n_a.tolist(), n_b.tolist(), groups, n_links, pairs, links)
 
 
 @lru_cache(maxsize=2)
@@ -165,6 +246,23 @@ def aligner(a_path: str, b_path: str) -> Aligner:
     return Aligner(a_path, b_path)
 
 
+def gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[str | None]]]:
+    """Ids and texts of consecutive rows, BLOCK_CHARS characters together or one longer text."""
+    ids, texts, size = [], [], 0
+    for batch in slices(batches):
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            text = text.as_py()
+            n = len(text or "") + 1
+            if ids and size + n > BLOCK_CHARS:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+            ids.append(doc_id)
+            texts.append(text)
+            size += n
+    if ids:
+        yield ids, texts
+
+
 def n_groups(groups: str) -> int:
     return groups.count(";") + 1 if groups else 0
 
@@ -180,17 +278,16 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """
     def work(batches):
         tool = aligner(a_path, b_path)
-        for batch in slices(batches):
-            found = tool.texts(batch.column(1).to_pylist())
+        for ids, texts in gathered(batches):
+            found = tool.block(texts)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), *[pa.array([row[k] for row in found], pa.int64()) for k in (0, 1)],
-                pa.array([n_groups(row[2]) for row in found], pa.int64()),
-                pa.array([len(row[3]) // 8 for row in found], pa.int64()),
-                pa.array([row[2] for row in found], pa.string()),
+                pa.array(ids, id_type), pa.array(found.n_a, pa.int64()), pa.array(found.n_b, pa.int64()),
+                pa.array(map(n_groups, found.groups), pa.int64()), pa.array(found.n_links, pa.int64()),
+                pa.array(found.groups, pa.string()),
             ], names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups"])
 
     source = pick(docs, "doc_id", "text")
-    kind = source.schema["doc_id"].dataType.simpleString()
+    kind, id_type = source.schema["doc_id"].dataType.simpleString(), to_arrow_type(source.schema["doc_id"].dataType)
     return source.mapInArrow(
         work, f"doc_id {kind}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string"
     )
@@ -202,35 +299,25 @@ LISTS = ["n_a", "n_b", "n_groups", "n_links"]
 
 def _blocks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """One row for each block of documents: their numbers, and its distinct pairs (see above)."""
-    def packed(block: int, held: list[tuple]) -> pa.RecordBatch:
-        links = np.frombuffer(b"".join([row[-1] for row in held]), "<i8")
-        codes, pairs = pd.factorize(links, sort=True)
-        numbers = np.repeat(np.arange(len(held)), [len(row[-1]) // 8 for row in held])
-        own, times = np.unique(numbers * len(pairs) + codes, return_counts=True)
-        which, index = np.divmod(own, max(len(pairs), 1))
-        ends = np.searchsorted(which, np.arange(len(held)), "right")
-        return pa.RecordBatch.from_arrays([
-            pa.array([block], pa.int64()), pa.array([[row[0] for row in held]], pa.list_(id_type)),
-            *[pa.array([[row[k] for row in held]], pa.list_(pa.int64())) for k in range(1, 5)],
-            pa.array([[row[5] for row in held]], pa.list_(pa.string())),
-            pa.array([pairs], pa.list_(pa.int64())),
-            pa.array([np.bincount(index, minlength=len(pairs))], pa.list_(pa.int64())),
-            *[pa.array([x.astype("<u4").tobytes()], pa.binary()) for x in (ends, index, times)],
-        ], names=names)
-
     def work(batches):
-        tool, block, held, links = aligner(a_path, b_path), TaskContext.get().partitionId() << 32, [], 0
-        for batch in slices(batches):
-            for doc_id, found in zip(batch.column(0).to_pylist(), tool.texts(batch.column(1).to_pylist())):
-                a, b, groups, own = found
-                if held and (links + len(own) // 8 > BLOCK_LINKS or len(held) == BLOCK_LINKS // 16):
-                    yield packed(block, held)
-                    block, held, links = block + 1, [], 0
-                digest = sha256(groups.encode()).hexdigest() if groups else ""
-                held.append((doc_id, a, b, n_groups(groups), len(own) // 8, digest, own))
-                links += len(own) // 8
-        if held:
-            yield packed(block, held)
+        tool, block = aligner(a_path, b_path), TaskContext.get().partitionId() << 32
+        for number, (ids, texts) in enumerate(gathered(batches)):
+            found = tool.block(texts)
+            n_pairs = max(len(found.pairs), 1)
+            docs = np.repeat(np.arange(len(ids)), found.n_links)
+            own, times = np.unique(docs * n_pairs + found.links, return_counts=True)
+            which, index = np.divmod(own, n_pairs)
+            ends = np.searchsorted(which, np.arange(len(ids)), "right")
+            held = np.bincount(index, minlength=len(found.pairs))
+            digests = [sha256(text.encode()).hexdigest() if text else "" for text in found.groups]
+            longs = found.n_a, found.n_b, list(map(n_groups, found.groups)), found.n_links
+            yield pa.RecordBatch.from_arrays([
+                pa.array([block + number], pa.int64()), pa.array([ids], pa.list_(id_type)),
+                *[pa.array([x], pa.list_(pa.int64())) for x in longs],
+                pa.array([digests], pa.list_(pa.string())),
+                *[pa.array([x], pa.list_(pa.int64())) for x in (found.pairs, held)],
+                *[pa.array([x.astype("<u4").tobytes()], pa.binary()) for x in (ends, index, times)],
+            ], names=names)
 
     source = pick(docs, "doc_id", "text")
     kind, id_type = source.schema["doc_id"].dataType.simpleString(), to_arrow_type(source.schema["doc_id"].dataType)

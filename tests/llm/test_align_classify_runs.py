@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -80,9 +81,7 @@ ODD = [
 COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
 
-@pytest.mark.parametrize("links", [align.BLOCK_LINKS, 300])
-def test_alignment_equals_brute_force(spark, sf_dir, monkeypatch, links):
-    monkeypatch.setattr(align, "BLOCK_LINKS", links)  # read on the driver and shipped with the task's function
+def test_alignment_equals_brute_force(spark, sf_dir):
     texts = ODD + [r.text for r in table(spark, sf_dir, "documents").collect()]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     expected = slow_alignment(texts)
@@ -103,15 +102,41 @@ def test_alignment_query_and_repeated_rows(spark, sf_dir):
     assert align.scored(docs.limit(0), *FILES).collect() == [] == align.align(docs.limit(0), *FILES).collect()
 
 
-def test_windows_are_remembered_and_forgotten(monkeypatch):
+@pytest.mark.parametrize("narrow,packs", [(4, True), (1, True), (4, False)])
+def test_windows_are_remembered_and_forgotten(spark, sf_dir, monkeypatch, narrow, packs):
+    monkeypatch.setattr(align, "NARROW", narrow)
     tool = align.Aligner(*FILES)
-    texts = [f"word{k} and more{k} and word{k}" for k in range(50)] * 2
-    whole = tool.texts(texts)
-    assert len(tool.windows) < sum(len(x[2].split(";")) for x in whole)
-    monkeypatch.setattr(align, "REMEMBERED", 3)
-    monkeypatch.setattr(align, "AT_ONCE", 10)
-    tool.windows.clear()
-    assert tool.texts(texts) == whole and len(tool.windows) <= 3
+    tool.packs = packs
+    texts = [*ODD, *[f"word{k} and more{k} and word{k}" for k in range(50)], *[r.text for r in table(spark, sf_dir, "documents").limit(40).collect()]] * 2
+    expected = slow_alignment(texts)
+
+    def same(parts):
+        rows = []
+        for part in parts:
+            found = tool.block(part)
+            ends = np.cumsum(found.n_links)
+            for k, n in enumerate(found.n_links):
+                links = found.pairs[found.links[ends[k] - n:ends[k]]]
+                rows.append((found.n_a[k], found.n_b[k], align.n_groups(found.groups[k]), n, found.groups[k], Counter(links.tolist())))
+        assert [row[:5] for row in rows] == [(*row[:4], row[7]) for row in expected]
+        counts = Counter()
+        for row in rows:
+            counts.update(row[5].keys())
+        assert [sum(counts[p] * n for p, n in row[5].items()) for row in rows] == [row[5] for row in expected]
+
+    same([texts])
+    assert 50 < len(tool.windows) < sum(row[2] for row in expected)
+    all_windows = len(tool.windows)
+    monkeypatch.setattr(align, "REMEMBERED", 300)  # what is remembered goes before a block's new windows come
+    same([texts[k:k + 7] for k in range(0, len(texts), 7)])
+    assert len(tool.windows) < all_windows
+
+
+def test_blocks_hold_so_many_characters(monkeypatch):
+    rows = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(["a" * 10] * 4 + ["b" * 100, None, "", "c", "d" * 19])], names=["i", "t"])
+    monkeypatch.setattr(align, "BLOCK_CHARS", 25)
+    assert [ids for ids, _ in align.gathered([rows])] == [[0, 1], [2, 3], [4], [5, 6, 7], [8]]
+    assert [i for ids, _ in align.gathered([rows.slice(0, 2), rows.slice(2)]) for i in ids] == list(range(9))
 
 
 # -- classifier -------------------------------------------------------------
