@@ -132,8 +132,24 @@ def test_windows_are_remembered_and_forgotten(spark, sf_dir, monkeypatch, narrow
     assert len(tool.windows) < all_windows
 
 
+def test_the_fast_encoder_gives_the_ids_of_the_file():
+    """Every character in several places, strings of tokens, and long runs."""
+    tool, chance = align.Aligner(*FILES), random.Random(21)
+    codes = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"a{chr(c)}1 {chr(c)}{chr(c)}. {chr(c)}b" for c in codes[k:k + 500]) for k in range(0, len(codes), 500)]
+    pieces = [token.decode("utf-8", "ignore") for token in tool.a.tokens] + [" ", "  ", "\n", " \t\n ", "'ll", "<|endoftext|>", "\u3000", "é́"]
+    texts += ["".join(chance.choices(pieces, k=chance.randint(1, 30))) for _ in range(20_000)]
+    texts += ["".join(chance.choices("etaoin shr", k=chance.randint(1, 200))) for _ in range(5_000)]
+    texts += ["x" * 300_000, "a" + " " * 19_999 + "b", "a" + " " * 25_000, " \n" * 400_000 + "end", "!" * 100_000]
+    assert tool.a_ranked is not None
+    for at in range(0, len(texts), 500):
+        part = texts[at:at + 500]
+        expected = [found.ids for found in tool.a_encoder.encode_batch_fast(part, add_special_tokens=False)]
+        assert list(map(tool.a_ids, part)) == expected
+
+
 def test_blocks_hold_so_many_characters(monkeypatch):
-    rows = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(["a" * 10] * 4 + ["b" * 100, None, "", "c", "d" * 19])], names=["i", "t"])
+    rows = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(["a" * 10] * 4 + ["b" * 100, None, "", "c", "d" * 22])], names=["i", "t"])
     monkeypatch.setattr(align, "BLOCK_CHARS", 25)
     assert [ids for ids, _ in align.gathered([rows])] == [[0, 1], [2, 3], [4], [5, 6, 7], [8]]
     assert [i for ids, _ in align.gathered([rows.slice(0, 2), rows.slice(2)]) for i in ids] == list(range(9))
