@@ -27,8 +27,7 @@ def query(build):
 @query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), *rules)
-    return byte_bpe.decode(encoded, *rules).select(
+    return byte_bpe.coded(table(spark, sf_dir, "documents"), *rules).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )

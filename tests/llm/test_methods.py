@@ -44,6 +44,30 @@ def test_bpe_equals_tiktoken(spark, sf_dir):
         ids = codec.encode(text)
         assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text)
         assert codec.decode(ids) == text.encode()
+    docs = spark.createDataFrame(list(enumerate([*texts[:50], None])), "doc_id long, text string")
+    both = [sorted(map(tuple, rows.collect())) for rows in (byte_bpe.coded(docs, *RANKS), byte_bpe.decode(byte_bpe.encode(docs, *RANKS), *RANKS))]
+    assert both[0] == both[1]
+
+
+def test_words_and_marks_equal_tiktoken(monkeypatch):
+    """Every character as a letter or mark beside others, words with marks, and a store that forgets."""
+    with open(RANKS[0], "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    library = tiktoken.Encoding("own", pat_str=RANKS[1], mergeable_ranks=ranks, special_tokens={})
+    codec, chance = byte_bpe.Codec(*RANKS), random.Random(6)
+    codes = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f" a{chr(c)}. {chr(c)}{chr(c)}, .{chr(c)}" for c in codes[k:k + 500]) for k in range(0, len(codes), 500)]
+    parts = ["word", "Été", "中文", "it's", "don't", "x1", "'ll", "_", "...", "!?", '"', "'", "-", "\n", "\t", "  ", "%%%", "###", "naïve", "a"]
+    texts += [chance.choice(["", " "]).join(chance.choices(parts, k=chance.randint(1, 12))) for _ in range(5000)]
+    texts += [" ".join("".join(chance.choices("abcdefghij", k=chance.randint(14, 40))) for _ in range(20)) for _ in range(50)]
+    assert codec.plain
+    for text in texts:
+        assert np.frombuffer(codec.encode(text), "<u4").tolist() == library.encode_ordinary(text)
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 40)
+    small = byte_bpe.Codec(*RANKS)
+    for text in texts[-3000:]:
+        assert small.encode(text) == codec.encode(text)
+        assert max(len(small.words.young), len(small.words.old), len(small.pieces.young), len(small.pieces.old)) <= 20
 
 
 def test_word_ids_equal_the_library(spark, sf_dir):
