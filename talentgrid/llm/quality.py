@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talentgrid.llm.frames import checkpointed, numbered, pick
+from talentgrid.llm.frames import checkpointed, join_unique, numbered, pick
 
 #: Places of the hashed n-grams.
 BUCKETS = 1 << 17
@@ -61,22 +61,22 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
     trusted = pick(labels, "doc_id", "quality", "toxic").filter(
         "quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null"
     ).select("doc_id").distinct()
-    # rows without id find no label; a number from their text spreads them over the tasks
-    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("bigint"))
-    trusted = trusted.withColumns({"spread": F.lit(0).cast("bigint"), "good": F.lit(1)})
-    texts = pick(docs, "doc_id", "text").withColumn("spread", spread)
-    # the ids of a task are few next to its texts, which needn't be sorted then
-    texts = texts.join(trusted.hint("shuffle_hash"), ["doc_id", "spread"], "left")
-    grams = with_hashes(texts, "text").select(
-        F.coalesce("good", F.lit(0)).alias("good"), F.explode(F.concat("one", "two")).alias("gram")
-    )
-    every = docs.sparkSession.range(BUCKETS).select(
-        F.col("id").cast("int").alias("bucket"), F.lit(0).cast("bigint").alias("raw"), F.lit(0).cast("bigint").alias("target")
-    )
+    texts = pick(docs, "doc_id", "text")
+
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        grams = with_hashes(rows.select("text"), "text").select(F.explode(F.concat("one", "two")).alias("gram"))
+        found = grams.groupBy(bucket(F.col("gram")).alias("bucket")).agg(F.count(F.lit(1)).alias(name))
+        return found.select("bucket", *[
+            (F.col(name) if name == other else F.lit(0).cast("bigint")).alias(other) for other in ("raw", "target")
+        ])
+
+    none = F.lit(0).cast("bigint")
+    every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"), none.alias("raw"), none.alias("target"))
+    # the corpus is counted where it lies; labels meet texts in a join of their own, in which Spark
+    # may send the ids of small tables to the texts, or sift the texts by the ids before they move
     counts = checkpointed(
-        grams.groupBy(bucket(F.col("gram")).alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("target"))
-        .union(every).groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+        counted(texts, "raw").union(counted(join_unique(texts, trusted, "doc_id"), "target")).union(every)
+        .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     )
     totals = counts.agg(F.sum("raw").alias("raws"), F.sum("target").alias("targets"))
     expected = F.col("raw") * F.col("targets") / F.greatest("raws", F.lit(1))
