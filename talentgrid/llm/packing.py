@@ -37,7 +37,7 @@ from talentgrid.llm.frames import pick
 CUT_SENTENCE, CUT_INSIDE = 4, 40
 #: Tokens planned at once.
 STRETCH = 1 << 19
-#: Words whose ids a worker remembers, and their length.
+#: Words whose ids a worker remembers, twice as many with those of the time before, and their length.
 REMEMBERED, REMEMBERED_CHARS = 400_000, 64
 #: Characters of a text handled at once.
 AT_ONCE = 1 << 20
@@ -45,6 +45,8 @@ AT_ONCE = 1 << 20
 GAP = "\x02"
 #: Last characters of a token that ends a sentence.
 SENTENCE_ENDS = ".!?…"
+#: Marks that make up one piece with each other, whatever letters and digits stand before them.
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
@@ -64,13 +66,12 @@ class Words:
         added = self.tokenizer.get_added_tokens_decoder().values() if special else ()
         # in lower case: only a word as it stands tells whether it holds the token
         self.special = [token.content.lower() for token in added]
-        self.mark_ids = {
-            end: array("I", self.tokenizer.encode(end, add_special_tokens=False).ids).tobytes() for end in ("", ".", ",")
-        }
         (gap_id,) = self.tokenizer.encode(GAP, add_special_tokens=False).ids
         self.split = regex.compile(r"\S+").findall
         self.gap = regex.compile(r"\s")
+        # words used since the first store was full last time, and those of the time before
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.ends_word = np.array([token.endswith("</w>") for token in tokens])
         self.is_gap = np.arange(len(tokens)) == gap_id
@@ -122,40 +123,47 @@ class Words:
             at = end
             # str.split() also cuts at the four separators below, which are no white space here
             words = self.split(part) if SEPARATORS.search(part) else part.split()
-            if new := {word for word in words if word not in known}:
+            found = list(map(known.get, words))
+            if None in found:
+                new = {word for word, ids in zip(words, found) if ids is None}
                 if len(known) + len(new) > REMEMBERED:
-                    known.clear()
-                    new = set(words)
-                plain = new
+                    self.known, self.old = {}, known
+                    known = self.known
+                before = self.old
+                known.update((word, before[word]) for word in new if word in before)
+                plain = new.difference(known)
                 lower = part.lower() if self.special else ""
                 if some := [string for string in self.special if string in lower]:
-                    whole = [word for word in new if any(string in word.lower() for string in some)]
+                    whole = [word for word in plain if any(string in word.lower() for string in some)]
                     for word in whole:
-                        found = self.tokenizer.encode(word, add_special_tokens=False).ids
-                        known[word] = array("I", found).tobytes()
-                    plain = new.difference(whole)
+                        known[word] = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+                    plain = plain.difference(whole)
                 forms = {word: stem(word) for word in plain}
-                if unknown := {form for form, _ in forms.values() if form not in known}:
-                    self._learn(list(unknown))
-                mark = self.mark_ids
-                known.update((word, known[form] + mark[end]) for word, (form, end) in forms.items())
-            parts.append(b"".join([known[word] for word in words]))
-            for word in new:
-                if len(word) > REMEMBERED_CHARS:
+                needed = {form for form, _ in forms.values()}.union(end for _, end in forms.values())
+                if unknown := [form for form in needed if form and form not in known]:
+                    self._learn(unknown)
+                known[""] = b""
+                known.update((word, known[form] + known[end]) for word, (form, end) in forms.items())
+                found = [known[word] if ids is None else ids for word, ids in zip(words, found)]
+                for word in [word for word in new if len(word) > REMEMBERED_CHARS]:
                     del known[word]
+            parts.append(b"".join(found))
         return b"".join(parts)
 
 
 def stem(word: str) -> tuple[str, str]:
-    """A form of the word with the same ids, less a last point or comma, and that mark.
+    """A form of the word with the same ids, less the marks at its end, and these.
 
-    Such a mark is a token of its own after what the tokenizer's normaliser (NFC, lower-casing)
+    A run of marks is a piece of its own after what the tokenizer's normaliser (NFC, lower-casing)
     leaves as a letter or digit, and case doesn't matter.  Some letters become a letter and a
-    combining mark, which the tokenizer joins with the point or comma.
+    combining mark, which the tokenizer joins with the marks.  Letters up to U+00FF have one
+    lower-case form, which is composed.
     """
-    end = word[-1] if word[-1] in ".," and ends_alnum(word[:-1]) else ""
-    form = word[:-1] if end else word
-    return (form.lower() if form.isascii() else form), end
+    form = word.rstrip(MARKS)
+    if len(form) < len(word) and not ends_alnum(form):
+        form = word
+    end = word[len(form):]
+    return (form.lower() if form.isascii() or max(form) < "\u0100" else form), end
 
 
 def ends_alnum(word: str) -> bool:
@@ -171,12 +179,18 @@ def words_of(path: str, special: bool = False) -> Words:
 
 
 def plan(places: list[int], penalties: list[int], limit: int) -> list[int]:
-    """The window ends among ``places`` that cost least.
+    """The window ends among ``places`` that cost least; of equal costs, the window from the monotone queue's
+    earliest place, which wins against a power of two of the same cost.
 
     ``places`` ascend from 0 to the length of the stretch, neighbours at most ``limit`` apart.
     """
-    index = {place: k for k, place in enumerate(places)}
-    powers = [1 << k for k in range(limit.bit_length()) if 1 << k <= limit]
+    every = np.array(places)
+    unpadded: dict[int, list[int]] = {}  # places a power of two before each place
+    for length in [1 << k for k in range(limit.bit_length()) if 1 << k <= limit]:
+        found = np.searchsorted(every, every - length)
+        exact = np.flatnonzero(every[found] == every - length)
+        for j, i in zip(exact.tolist(), found[exact].tolist()):
+            unpadded.setdefault(j, []).append(i)
     cost, came = [0] * len(places), [0] * len(places)
     queue: deque[tuple[int, int]] = deque([(0, 0)])  # (cost + place, position), both ascending
     for j in range(1, len(places)):
@@ -184,10 +198,10 @@ def plan(places: list[int], penalties: list[int], limit: int) -> list[int]:
         while places[queue[0][1]] < place - limit:
             queue.popleft()
         best, came[j] = queue[0][0] - place + limit, queue[0][1]
-        for length in powers:
-            i = index.get(place - length)
-            if i is not None and cost[i] < best:
-                best, came[j] = cost[i], i
+        if j in unpadded:
+            for i in unpadded[j]:
+                if cost[i] < best:
+                    best, came[j] = cost[i], i
         cost[j] = best + penalties[j]
         entry = cost[j] + place
         while queue and queue[-1][0] >= entry:
@@ -269,9 +283,8 @@ def pack(docs: DataFrame, tokenizer_path: str, limit: int = 2048, end_id: int =
                 )
 
         for batch in slices(batches):
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.frombuffer(words.ids(text.as_py()), "<u4")
-                ids = np.append(ids, np.uint32(end_id))
+            for doc_id, raw in zip(batch.column(0).to_pylist(), (words.ids(text.as_py()) for text in batch.column(1))):
+                ids = np.append(np.frombuffer(raw, "<u4"), np.uint32(end_id))
                 for start in range(0, len(ids), STRETCH):
                     part = ids[start:start + STRETCH]
                     if tokens and tokens + len(part) > STRETCH:
