@@ -11,8 +11,8 @@ To find pairs within t in a part, each fingerprint is filed under its bits there
 value that has up to t of its zero bits set.  Two values within t meet at their union, and the
 bits that both set number t at most.  Rows of one value are compared in blocks, and of the links
 found only a spanning forest is kept, so a group of many near copies yields as many rows
-as it has members.  A value that holds more than a bounded share of the rows is cut into
-blocks that meet pair by pair in tasks of their own.
+as it has members.  A value that holds more than BLOCK_ROWS rows is cut into blocks that meet pair by
+pair, so the work of one comparison doesn't grow with the data.
 """
 
 from __future__ import annotations
@@ -37,8 +37,8 @@ SAMPLE = 2048
 FILE_COST, PAIR_COST = 1.0, 0.02
 #: Highest threshold of a part, and parts, that are considered (more where a limit needs them).
 MOST_IN_PART, MOST_PARTS = 2, 8
-#: Rows of one value that one task compares at least before they are cut into blocks.
-BLOCK_ROWS = 1024
+#: Rows of one value that are compared as one block; more are cut into blocks that meet pair by pair.
+BLOCK_ROWS = 4096
 #: Rows compared at once.
 AT_ONCE = 1 << 17
 
@@ -209,14 +209,24 @@ def links(prints: DataFrame, limit: int) -> DataFrame:
     masks, thresholds = allotted(np.array([row.fp for row in some], "<i8").view(np.uint64), n, limit)
     rows = filed(prints, masks, thresholds)
     counts = rows.groupBy("part", "value").agg(F.count(F.lit(1)).alias("n"))
-    # at most HEAVY_SHARE values hold more than this share of the rows
     total = rows.agg(F.count(F.lit(1)).alias("n")).first().n
-    block_rows = max(BLOCK_ROWS, total // HEAVY_SHARE)
-    heavy = counts.filter(F.col("n") > block_rows).select(
-        "part", "value", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks")
+    large = counts.filter(F.col("n") > BLOCK_ROWS).select(
+        "part", "value", "n", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")
     )
+    # at most HEAVY_SHARE values hold more than this share of the rows; the others fit a task
+    heavy = large.filter(F.col("n") * HEAVY_SHARE > total).select("part", "value", "blocks")
+    pairs = rows.join(F.broadcast(heavy), ["part", "value"], "left")
+    if total > BLOCK_ROWS * HEAVY_SHARE:  # else every large value is heavy
+        light = large.filter(F.col("n") * HEAVY_SHARE <= total).select("part", "value", F.col("blocks").alias("more"))
+        # rows that have their blocks already go to a part that doesn't exist, spread by fingerprint
+        done = F.col("blocks").isNotNull()
+        keyed = pairs.withColumns({
+            "in_part": F.when(done, -1).otherwise(F.col("part")), "in_value": F.when(done, F.col("fp")).otherwise(F.col("value"))
+        })
+        light = light.withColumnsRenamed({"part": "in_part", "value": "in_value"})
+        pairs = keyed.join(light, ["in_part", "in_value"], "left").withColumn("blocks", F.coalesce("blocks", "more"))
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    pairs = rows.join(F.broadcast(heavy), ["part", "value"], "left").withColumn("block", F.coalesce(own, F.lit(0)))
+    pairs = pairs.withColumn("block", F.coalesce(own, F.lit(0)))
     pairs = pairs.withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("blocks"), F.lit(1)) - 1)))
     pairs = pairs.select(
         "part", "value", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
