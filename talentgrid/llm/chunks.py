@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -125,53 +126,109 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 NO_ID = -(1 << 63)
 
 
+def _bounds(keyed: DataFrame, stretches: int) -> list[tuple[int, int]]:
+    """Places (key, digest) that part rows (key, digest) into about ``stretches`` equal stretches, ascending.
+
+    Where one key spans several stretches it is parted by digest, and a digest that spans several, copies
+    of one text, is named as often.  All lists that come to the driver are bounded by ``stretches``.
+    """
+    shares = [i / stretches for i in range(1, stretches)]
+    found = keyed.agg(F.percentile_approx("key", shares, 10 * stretches).alias("keys"), F.count(F.lit(1)).alias("n")).first()
+    spans = Counter(found.keys or [])
+    hot = [key for key, times in spans.items() if times > 1]
+    bounds = [(key, NO_ID) for key, times in spans.items() if times == 1]
+    for key in hot:  # digests are even but for copies
+        bounds += [(key, NO_ID + (j << 64) // (spans[key] + 1)) for j in range(spans[key] + 1)]
+    if hot:
+        copies = keyed.filter(F.col("key").isin(hot)).groupBy("key", "digest").agg(F.count(F.lit(1)).alias("n"))
+        for row in copies.filter(F.col("n") * stretches > found.n).collect():
+            bounds += [(row.key, row.digest)] * -(-row.n * stretches // found.n)
+    return sorted(bounds)
+
+
+def placed(keys: np.ndarray, digests: np.ndarray, bounds: np.ndarray, turn: int) -> np.ndarray:
+    """The stretch of each row: how many bounds lie at or below it.
+
+    Copies of a text that several bounds name are dealt to the stretches these begin, from ``turn`` on.
+    """
+    low, high = (np.searchsorted(bounds[:, 0], keys, side) for side in ("left", "right"))
+    below, times = low.copy(), np.zeros(len(keys), np.int64)
+    for key in np.unique(keys[high > low]):
+        rows = np.flatnonzero(keys == key)
+        named = bounds[low[rows[0]]:high[rows[0]], 1]
+        right = np.searchsorted(named, digests[rows], "right")
+        below[rows] += right
+        times[rows] = right - np.searchsorted(named, digests[rows], "left")
+    return below - (turn + np.arange(len(keys))) % np.maximum(times, 1)
+
+
 def neighbours(docs: DataFrame, stretches: int) -> DataFrame:
     """Texts dealt so that each meets the next one by doc_id (null ids first, ties by digest).
 
-    The id range is cut into about ``stretches`` stretches of equal numbers of rows.  Each goes to
-    one task, with a guest: the first row of the next stretch that has rows, for the last one
-    the first row of all.  Columns: stretch, guest, key, digest, doc_id, packed (the compressed
-    text); rows of a stretch follow each other in order.  Only ends of stretches, a number that
-    ``stretches`` bounds, come to the driver.
+    The rows are cut into about ``stretches`` stretches of equal numbers, also within the rows of one id and
+    within copies of one text.  Each goes to one task, with a guest: a first row of the next stretch
+    that has rows, for the last one the first row of all.  Columns: stretch, guest, key, digest,
+    doc_id, packed (the compressed text); rows of a stretch follow each other in order.  Only ends
+    of stretches, a number that ``stretches`` bounds, come to the driver.
     """
-    def work(batches):
-        codec = pa.Codec("zstd")
-        for batch in slices(batches):
-            raw = [(text.as_py() or "").encode() for text in batch.column(1)]
-            packed = [len(x).to_bytes(8, "little") + codec.compress(x, asbytes=True) for x in raw]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([xxhash.xxh3_64_intdigest(x) >> 1 for x in raw], pa.int64()),
-                pa.array(packed, pa.binary()),
-            ], names=["doc_id", "digest", "packed"])
+    spark, text = docs.sparkSession, F.coalesce(F.col("text"), F.lit(""))
+    source = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint")).select(
+        F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("key"), F.xxhash64(text).alias("digest"), "doc_id", text.alias("text")
+    )
+    found = _bounds(source.select("key", "digest"), stretches)
+    bounds = np.array(found, np.int64).reshape(-1, 2)
 
-    source = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    key = F.coalesce(F.col("doc_id"), F.lit(NO_ID))
-    shares = [i / stretches for i in range(1, stretches)]
-    bounds = source.select(key.alias("key")).agg(F.percentile_approx("key", shares, 10 * stretches)).first()[0] \
-        if shares else []
-    bounds = F.array(*map(F.lit, sorted(set(bounds or [])))).cast("array<bigint>")
-    # the stretch of a key: how many bounds lie at or below it
-    stretch = F.size(F.filter(bounds, lambda bound: bound <= F.col("key"))).cast("bigint")
-    keyed = source.select("doc_id", key.alias("key"))
-    firsts = sorted(keyed.groupBy(stretch.alias("s")).agg(F.min("key")).collect())
-    also = F.create_map(*[
-        F.lit(x) for (_, first), (s, _) in zip(firsts, [firsts[-1], *firsts[:-1]]) for x in (first, s)
-    ]) if firsts else F.create_map(F.lit(0), F.lit(0))
-    packed = source.mapInArrow(work, "doc_id bigint, digest bigint, packed binary").withColumn("key", key)
-    return (
-        packed.withColumn("to", F.array_compact(F.array(stretch, also[F.col("key")].cast("bigint"))))
-        .select("*", F.posexplode("to").alias("guest", "stretch")).drop("to")
-        .repartition(stretches, "stretch")
-        .sortWithinPartitions("stretch", "guest", "key", "digest")
+    def stretches_of(batches):
+        turn = 0
+        for batch in batches:
+            columns = [column.to_numpy() for column in batch.columns[:2]]
+            stretch = pa.array(placed(*columns, bounds, turn), pa.int64())
+            turn += batch.num_rows
+            yield batch, stretch
+
+    def narrow(batches):
+        for batch, stretch in stretches_of(batches):
+            yield pa.RecordBatch.from_arrays([stretch, *batch.columns], names=["stretch", "key", "digest"])
+
+    def packed(column):
+        codec = pa.Codec("zstd")
+        raw = [text.as_py() for text in column.cast(pa.binary())]
+        return pa.array([len(x).to_bytes(8, "little") + codec.compress(x, asbytes=True) for x in raw], pa.binary())
+
+    def dealt(guests):
+        def work(batches):
+            if guests:
+                rows = ((batch, batch.column(4)) for batch in slices(batches))
+            else:
+                rows = stretches_of(slices(batches))
+            for batch, stretch in rows:
+                guest = pa.array(np.full(batch.num_rows, int(guests), np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [stretch, guest, *batch.columns[:3], packed(batch.column(3))],
+                    names=["stretch", "guest", "key", "digest", "doc_id", "packed"],
+                )
+        return work
+
+    schema = "stretch bigint, guest int, key bigint, digest bigint, doc_id bigint, packed binary"
+    least = source.select("key", "digest").mapInArrow(narrow, "stretch bigint, key bigint, digest bigint").groupBy("stretch")
+    firsts = sorted(least.agg(F.min(F.struct("key", "digest")).alias("first")).collect())
+    to = [(*first, s) for (_, first), (s, _) in zip(firsts, [firsts[-1], *firsts[:-1]])] if firsts else []
+    wanted = F.broadcast(spark.createDataFrame(to, "key bigint, digest bigint, stretch bigint"))
+    # one row for each place where a stretch begins, whatever number of copies it has
+    single = source.join(F.broadcast(wanted.select("key", "digest").distinct()), ["key", "digest"]).groupBy("key", "digest").agg(
+        F.min("doc_id").alias("doc_id"), F.min("text").alias("text")
     )
+    guests = single.join(wanted, ["key", "digest"]).select("key", "digest", "doc_id", "text", "stretch")
+    rows = source.mapInArrow(dealt(False), schema).union(guests.mapInArrow(dealt(True), schema))
+    return rows.repartition(stretches, "stretch").sortWithinPartitions("stretch", "guest", "key", "digest")
 
 
 def compared(docs: DataFrame, stretches: int | None = None) -> DataFrame:
     """Fingerprints of every document and of its edited text, with their likeness.
 
     The edited text and ``near_next`` take the next document by doc_id, after the last one the
-    first.  Null ids come first, rows of one id by digest of their texts; a table of one row
-    is its own next document.  ``near_edited`` and ``near_next`` are the containment of the
+    first.  Null ids come first, rows of one id by XXH64 of their texts (copies in any order); a table of one
+    row is its own next document.  ``near_edited`` and ``near_next`` are the containment of the
     document's chunks in the other text's.  A null text counts as empty.
     """
     stretches = stretches or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -183,7 +240,7 @@ def compared(docs: DataFrame, stretches: int | None = None) -> DataFrame:
             for stretch, guest, doc_id, packed in zip(*(column for column in batch.columns)):
                 stretch, guest, doc_id = stretch.as_py(), guest.as_py(), doc_id.as_py()
                 if guest and (before is None or before[0] != stretch or before[-1]):
-                    continue  # of several rows with the first id, the first one is the guest
+                    continue  # a stretch without rows of its own
                 data = packed.as_buffer()
                 size = int.from_bytes(data[:8].to_pybytes(), "little")
                 raw = codec.decompress(data[8:], size, asbytes=True) if size else b""
