@@ -13,11 +13,21 @@ from pyspark.sql import functions as F
 HEAVY_SHARE, HEAVY_ROWS = 5000, 100
 
 
+#: Rows that a Python worker gets at once: texts are long, and workers share an executor's memory.
+BATCH_ROWS = 256
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Have the session hand Python workers few rows at once; operators see to this by ``pick`` and ``numbered``."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The named columns only, found by exact name.
 
     Other columns, also ones that differ only in case or repeat a name, do no harm.
     """
+    small_batches(df.sparkSession)
     at = [df.columns.index(name) for name in names]
     plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     return plain.select(*[F.col(f"c{i}").alias(name) for i, name in zip(at, names)])
@@ -25,22 +35,13 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
 
 def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """The table with its columns renamed c0, c1, ..., and the new name of each old one."""
+    small_batches(df.sparkSession)
     names = [f"c{i}" for i in range(len(df.columns))]
     new = dict(reversed(list(zip(df.columns, names))))
     return df.toDF(*names), new
 
 
-#: Rows that a Python worker gets at once: texts are long, and workers share an executor's memory.
-BATCH_ROWS = 256
-
-
-def small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the folder; from then on the session hands workers small batches."""
-    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -28,8 +28,13 @@ from talentgrid.llm.frames import numbered, pick
 
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
-#: Texts that the weights and the temperature are fitted on, at most; languages, at most.
-SAMPLE, LANGUAGES = 6000, 400
+#: Texts that the weights and the temperature are fitted on, at most.
+SAMPLE = 6000
+#: An n-gram is strange to a language if at most this share of its texts in the sample hold it;
+#: a text whose share of strange n-grams exceeds this one is in no language that was learned.
+#: Where the sample says that little of a language, the second goes up to the third times what 99 in a
+#: hundred texts that it was not fitted on reach.
+RARE, MOST_STRANGE, MARGIN = 0.005, 0.03, 1.5
 #: The language of a text without letters.
 UNKNOWN = "und"
 #: Characters hashed at once.
@@ -81,6 +86,9 @@ class Model:
     weights: np.ndarray = field(default_factory=lambda: np.zeros((BUCKETS, 0), np.float32))
     bias: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
     temperature: float = 1.0
+    #: buckets that texts of each language commonly hold, and the share of others that is accepted
+    familiar: np.ndarray = field(default_factory=lambda: np.zeros((0, BUCKETS), bool))
+    most_strange: float = MOST_STRANGE
 
     def values(self, buckets: np.ndarray, counts: np.ndarray) -> np.ndarray:
         values = (1 + np.log(counts)) * self.idf[buckets]
@@ -91,10 +99,28 @@ class Model:
         buckets, counts = gram_counts(text)
         if not len(buckets) or not self.languages:
             return UNKNOWN, 0.0
+        best, chance = self._best(buckets, counts)
+        return self.languages[best], chance
+
+    def _best(self, buckets: np.ndarray, counts: np.ndarray) -> tuple[int, float]:
         logits = self.values(buckets, counts) @ self.weights[buckets] + self.bias
         chances = softmax(logits / self.temperature)
-        best = int(np.argmax(chances))
-        return self.languages[best], float(chances[best])
+        best = int(np.argmax(chances))  # of equal ones the first in the order of the languages' names
+        return best, float(chances[best])
+
+    def strangeness(self, buckets: np.ndarray, counts: np.ndarray) -> float:
+        """Share of a text's n-grams that few texts of its likeliest language hold.
+
+        It doesn't depend on how many languages are known: a text of another language is as
+        strange to one as to a hundred.
+        """
+        best, _ = self._best(buckets, counts)
+        return float(counts[~self.familiar[best, buckets]].sum() / counts.sum())
+
+    def knows(self, text: str | None) -> bool:
+        """Whether a text is in a language that was learned; never without letters."""
+        buckets, counts = gram_counts(text)
+        return bool(len(buckets) and self.languages) and self.strangeness(buckets, counts) <= self.most_strange
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:
@@ -198,34 +224,41 @@ def _sample(labelled: DataFrame, languages: dict[str, int], rows: int) -> list[t
     ]
 
 
-def train(docs: DataFrame, sample: int = SAMPLE, most_languages: int = LANGUAGES) -> Model:
+def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from text and lang of the rows that are not held out.
 
-    Rows with a null text or lang teach nothing; of more than ``most_languages`` labels the most
-    frequent are learned.  Without any labelled text with letters the model knows no language.
+    Rows with a null text or lang teach nothing.  Every label with a text in the sample is learned;
+    of more labels than ``sample`` texts, which can't all have one, the most frequent are sampled.
+    Every fifth text is kept from the weights for the temperature; below five texts that stays 1.
+    Without any labelled text with letters the model knows no language.
     """
     labelled = pick(docs, "doc_id", "text", "lang").filter(
         F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
     )
-    counted = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
+    counted = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample).collect()
     if not counted:
         return Model()
     languages = dict(sorted((row["lang"], row["count"]) for row in counted))
     labelled = labelled.filter(F.col("lang").isin(*languages))
     frequency, total = _document_counts(labelled.select("text"))
     model = Model(list(languages), np.log((1 + total) / (1 + frequency)).astype(np.float32) + np.float32(1))
-    rows = [
-        (buckets, model.values(buckets, counts), model.languages.index(lang))
-        for lang, buckets, counts in _sample(labelled, languages, sample) if len(buckets)
-    ]
+    sampled = [row for row in _sample(labelled, languages, sample) if len(row[1])]
+    rows = [(buckets, model.values(buckets, counts), model.languages.index(lang)) for lang, buckets, counts in sampled]
     if not rows:
         return Model()
-    fit = [row for k, row in enumerate(rows) if k % 5 or len(rows) < 50]
+    fit = [row for k, row in enumerate(rows) if k % 5 < 4]
     weights, bias = follow_the_leader(fit, len(languages))
     model.weights, model.bias = weights.astype(np.float32), bias.astype(np.float32)
-    if aside := [row for k, row in enumerate(rows) if not k % 5]:
+    if aside := [row for k, row in enumerate(rows) if k % 5 == 4]:
         logits = np.array([values @ weights[buckets] + bias for buckets, values, _ in aside])
         model.temperature = best_temperature(logits, np.array([label for _, _, label in aside]))
+    model.familiar = np.zeros((len(languages), BUCKETS), bool)
+    for k, lang in enumerate(model.languages):
+        own = [buckets for at, (name, buckets, _) in enumerate(sampled) if name == lang and at % 5 < 4]
+        if own:
+            model.familiar[k] = np.bincount(np.concatenate(own), minlength=BUCKETS) > RARE * len(own)
+    if strange := [model.strangeness(*row[1:]) for at, row in enumerate(sampled) if at % 5 == 4]:
+        model.most_strange = max(MOST_STRANGE, MARGIN * float(np.quantile(strange, 0.99)))
     return model
 
 
@@ -248,13 +281,15 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return source.mapInArrow(work, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, model: Model, least_score: float) -> DataFrame:
-    """The rows, all columns as they are, whose language is known with at least ``least_score``."""
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows, all columns as they are, whose text is in a language that the model has learned.
+
+    Null texts, texts without letters and texts too strange to their likeliest language go.
+    """
     plain, names = numbered(docs)
 
-    @F.pandas_udf("double")
-    def score(texts):
-        found = (model.predict(text) for text in texts)
-        return pd.Series([chance if lang != UNKNOWN else -1.0 for lang, chance in found], dtype=float)
+    @F.pandas_udf("boolean")
+    def known(texts):
+        return pd.Series([model.knows(text) for text in texts], dtype=bool)
 
-    return plain.filter(score(F.col(names["text"])) >= least_score).toDF(*docs.columns)
+    return plain.filter(known(F.col(names["text"]))).toDF(*docs.columns)
