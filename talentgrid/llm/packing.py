@@ -124,14 +124,15 @@ class Words:
             # str.split() also cuts at the four separators below, which are no white space here
             words = self.split(part) if SEPARATORS.search(part) else part.split()
             found = list(map(known.get, words))
-            if None in found:
-                new = {word for word, ids in zip(words, found) if ids is None}
+            if missing := places_of_none(found):
+                new = {words[k] for k in missing}
                 if len(known) + len(new) > REMEMBERED:
                     self.known, self.old = {}, known
                     known = self.known
                 before = self.old
-                known.update((word, before[word]) for word in new if word in before)
-                plain = new.difference(known)
+                again = new & before.keys()
+                known.update({word: before[word] for word in again})
+                plain = new - again
                 lower = part.lower() if self.special else ""
                 if some := [string for string in self.special if string in lower]:
                     whole = [word for word in plain if any(string in word.lower() for string in some)]
@@ -143,14 +144,25 @@ class Words:
                 if unknown := [form for form in needed if form and form not in known]:
                     self._learn(unknown)
                 known[""] = b""
-                known.update((word, known[form] + known[end]) for word, (form, end) in forms.items())
-                found = [known[word] if ids is None else ids for word, ids in zip(words, found)]
+                known.update({word: known[form] + known[end] for word, (form, end) in forms.items()})
+                for k in missing:
+                    found[k] = known[words[k]]
                 for word in [word for word in new if len(word) > REMEMBERED_CHARS]:
                     del known[word]
             parts.append(b"".join(found))
         return b"".join(parts)
 
 
+def places_of_none(values: list) -> list[int]:
+    places, at = [], -1
+    try:
+        while True:
+            at = values.index(None, at + 1)
+            places.append(at)
+    except ValueError:
+        return places
+
+
 def stem(word: str) -> tuple[str, str]:
     """A form of the word with the same ids, less the marks at its end, and these.
 
@@ -160,9 +172,9 @@ def stem(word: str) -> tuple[str, str]:
     lower-case form, which is composed.
     """
     form = word.rstrip(MARKS)
-    if len(form) < len(word) and not ends_alnum(form):
-        form = word
     end = word[len(form):]
+    if end and not ends_alnum(form):
+        form, end = word, ""
     return (form.lower() if form.isascii() or max(form) < "\u0100" else form), end
 
 
@@ -184,13 +196,16 @@ def plan(places: list[int], penalties: list[int], limit: int) -> list[int]:
 
     ``places`` ascend from 0 to the length of the stretch, neighbours at most ``limit`` apart.
     """
-    every = np.array(places)
-    unpadded: dict[int, list[int]] = {}  # places a power of two before each place
+    # pairs of places a power of two apart, by the later one
+    every, early, late = np.array(places), [], []
     for length in [1 << k for k in range(limit.bit_length()) if 1 << k <= limit]:
         found = np.searchsorted(every, every - length)
         exact = np.flatnonzero(every[found] == every - length)
-        for j, i in zip(exact.tolist(), found[exact].tolist()):
-            unpadded.setdefault(j, []).append(i)
+        early.append(found[exact])
+        late.append(exact)
+    early, late = np.concatenate(early), np.concatenate(late)
+    early = early[np.argsort(late, kind="stable")].tolist()
+    stops = np.cumsum(np.bincount(late, minlength=len(places))).tolist()
     cost, came = [0] * len(places), [0] * len(places)
     queue: deque[tuple[int, int]] = deque([(0, 0)])  # (cost + place, position), both ascending
     for j in range(1, len(places)):
@@ -198,10 +213,9 @@ def plan(places: list[int], penalties: list[int], limit: int) -> list[int]:
         while places[queue[0][1]] < place - limit:
             queue.popleft()
         best, came[j] = queue[0][0] - place + limit, queue[0][1]
-        if j in unpadded:
-            for i in unpadded[j]:
-                if cost[i] < best:
-                    best, came[j] = cost[i], i
+        for i in early[stops[j - 1]:stops[j]]:
+            if cost[i] < best:
+                best, came[j] = cost[i], i
         cost[j] = best + penalties[j]
         entry = cost[j] + place
         while queue and queue[-1][0] >= entry:
