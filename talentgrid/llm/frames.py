@@ -86,13 +86,13 @@ def heavy_keys(df: DataFrame, key: str) -> DataFrame:
     ).select(key)
 
 
-def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "inner", hint: str | None = None) -> DataFrame:
     """left joined to right, which has one row a key; no key of left overfills a task.
 
     Rows of heavy keys meet the few right rows of these keys by broadcast, the others by
-    shuffle.  Both sides are read more than once: pass checkpointed or cheap ones.
+    shuffle, in the way that ``hint`` names.  Both sides are read more than once: pass checkpointed or cheap ones.
     """
     heavy = F.broadcast(heavy_keys(left, key))
     few = right.join(heavy, key, "left_semi")
-    light = left.join(heavy, key, "left_anti").join(right, key, how)
+    light = left.join(heavy, key, "left_anti").join(right.hint(hint) if hint else right, key, how)
     return light.unionByName(left.join(heavy, key, "left_semi").join(F.broadcast(few), key, how))

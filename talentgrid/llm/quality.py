@@ -16,6 +16,9 @@ from talentgrid.llm.frames import checkpointed, join_unique, numbered, pick
 
 #: Places of the hashed n-grams.
 BUCKETS = 1 << 17
+#: Bits of the sieve of trusted ids: with as many ids a fraction 1 - 1/e of the other texts moves for nothing, which costs
+#: time only.
+SIEVE_BITS = 24
 #: Least mean log ratio of a document that is kept.
 THRESHOLD = -0.2
 #: Added to the found and to the expected count of a bucket, so that rare ones say little.
@@ -52,6 +55,29 @@ def bucket(value: Column) -> Column:
     return F.pmod(value, F.lit(BUCKETS)).cast("int")
 
 
+def _place(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(1 << SIEVE_BITS))
+
+
+def sieve(ids: DataFrame) -> DataFrame:
+    """One row: a bit for each hash of an id (doc_id), 64 in a number; its size depends on SIEVE_BITS only."""
+    words = 1 << (SIEVE_BITS - 6)
+    place = ids.select(_place(F.col("doc_id")).alias("place"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("place", F.lit(64)).cast("int"))
+    found = place.select(F.shiftright("place", 6).alias("word"), bit.alias("bits"))
+    every = ids.sparkSession.range(words).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bits"))
+    marked = found.union(every).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    listed = marked.agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("marks"))
+    return listed.select(F.col("marks.bits").alias("sieve"))
+
+
+def sifted(doc_id: Column, marks: Column) -> Column:
+    """False for ids that are surely not among those of the sieve, NULL for a null id."""
+    place = _place(doc_id)
+    word = F.get(marks, F.shiftright(place, 6).cast("int"))
+    return doc_id.isNotNull() & (F.call_function("shiftrightunsigned", word, F.pmod(place, F.lit(64)).cast("int")).bitwiseAND(1) == 1)
+
+
 def log_ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row: ``ratios``, for each bucket the log of its target share over its raw share.
 
@@ -72,10 +98,11 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     none = F.lit(0).cast("bigint")
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"), none.alias("raw"), none.alias("target"))
-    # the corpus is counted where it lies; labels meet texts in a join of their own, in which Spark
-    # may send the ids of small tables to the texts, or sift the texts by the ids before they move
+    # the corpus is counted where it lies; only texts that the sieve lets through move to meet their labels
+    likely = texts.withColumn("sieve", sieve(trusted).scalar()).filter(sifted(F.col("doc_id"), F.col("sieve"))).drop("sieve")
+    chosen = join_unique(likely, trusted, "doc_id", hint="shuffle_hash")
     counts = checkpointed(
-        counted(texts, "raw").union(counted(join_unique(texts, trusted, "doc_id"), "target")).union(every)
+        counted(texts, "raw").union(counted(chosen, "target")).union(every)
         .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     )
     totals = counts.agg(F.sum("raw").alias("raws"), F.sum("target").alias("targets"))

@@ -351,3 +351,24 @@ def test_last_stage_on_odd_rows(spark, tmp_path):
     rows = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
     assert sorted({str(r.doc_id) for r in rows}) == sorted({str(r.doc_id) for r in docs.collect()})
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), str(tmp_path)).collect() == []
+
+
+def test_the_sieve_lets_all_its_ids_through(spark, monkeypatch):
+    ids, others = spark.range(0, 3000).select(F.col("id").alias("doc_id")), spark.range(10_000, 40_000).select(F.col("id").alias("doc_id"))
+    for bits in (7, 12, quality.SIEVE_BITS):
+        monkeypatch.setattr(quality, "SIEVE_BITS", bits)
+        marks = quality.sieve(ids)
+        passed = [rows.withColumn("m", marks.scalar()).filter(quality.sifted(F.col("doc_id"), F.col("m"))).count() for rows in (ids, others)]
+        assert passed[0] == 3000 and passed[1] <= (30_000 if bits == 7 else 20_000 if bits == 12 else 50)
+    empty = quality.sieve(ids.limit(0))
+    assert ids.withColumn("m", empty.scalar()).filter(quality.sifted(F.col("doc_id"), F.col("m"))).count() == 0
+
+
+def test_target_with_one_id_on_a_third_of_the_rows(spark):
+    rows = [(7, f"a{k} b")  for k in range(3000)] + [(None, "n o")] * 3000 + [(100 + k, f"c{k}") for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(7, 1, 0), (7, 1, 0), (100, 1, 0), (101, 0, 0), (102, 1, 1), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    ratios = quality.log_ratios(docs, marks).first().ratios
+    hashes = spark.createDataFrame([("b",), ("n",), ("c0",), ("c1",), ("c2",)], "w string").withColumn("h", F.expr("xxhash64(w)")).collect()
+    place = {r.w: r.h % quality.BUCKETS for r in hashes}
+    assert ratios[place["b"]] > 0.3 > 0 > ratios[place["n"]] and ratios[place["c0"]] > ratios[place["c1"]] == pytest.approx(ratios[place["c2"]], abs=0.2)
