@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from talentgrid.llm.byte_bpe import slices
+from talentgrid.llm.byte_bpe import byte_letters, slices
 from talentgrid.llm.frames import new_folder, pick
 
 #: Characters of a block, at most, unless one text is longer.
@@ -50,15 +50,6 @@ GAP = re.compile(rf"\s{{{LONG_GAP}}}")
 SPACE, BYTE = "▁", re.compile(r"<0x([0-9A-F]{2})>")
 
 
-def byte_letters() -> dict[str, int]:
-    """The byte that each letter of a byte-level vocabulary stands for: visible ones of Latin-1
-    for themselves, the others, in order, from U+0100 on.
-    """
-    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = sorted(set(range(256)).difference(visible))
-    return {chr(b): b for b in visible} | {chr(0x100 + k): b for k, b in enumerate(others)}
-
-
 def ranked(path: str):
     """A byte-level BPE file as tiktoken's encoder, several times as fast; None if it might differ.
 

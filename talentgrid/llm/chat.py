@@ -125,7 +125,10 @@ def span(model: Model, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def decode(model: Model, symbols: np.ndarray, before: int | None = None, last: int | None = None) -> list[int]:
-    """The likeliest states, after the state ``before`` and with the last state ``last`` if given."""
+    """The likeliest states, after the state ``before`` and with the last state ``last`` if given.
+
+    Of equally likely ones the last state with the lowest number is taken, then so on backwards.
+    """
     score = (model.start if before is None else model.step[before]) + model.emit[:, symbols[0]]
     came = []
     for seen in symbols[1:]:

@@ -122,6 +122,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return source.mapInArrow(work, f"doc_id {kind}, n_chars bigint, n_chunks bigint, fingerprint string")
 
 
+#: Bytes of texts, about, that one task compares; fewer where there are more shuffle partitions.
+STRETCH_BYTES = 1 << 27
 #: Key of rows without an id: before all others.
 NO_ID = -(1 << 63)
 
@@ -231,7 +233,9 @@ def compared(docs: DataFrame, stretches: int | None = None) -> DataFrame:
     row is its own next document.  ``near_edited`` and ``near_next`` are the containment of the
     document's chunks in the other text's.  A null text counts as empty.
     """
-    stretches = stretches or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not stretches:
+        size = pick(docs, "doc_id", "text").agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        stretches = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // STRETCH_BYTES)
 
     def rows(batches):
         codec = pa.Codec("zstd")

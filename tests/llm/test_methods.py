@@ -80,6 +80,29 @@ def test_word_ids_equal_the_library(spark, sf_dir):
         assert np.frombuffer(words.ids(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_by_ranks_equal_the_library(monkeypatch):
+    """Latin words, all marks after words, long texts in parts, texts in groups, and a store that forgets."""
+    library, chance = Tokenizer.from_file(WORDS), random.Random(14)
+    words = packing.Words(WORDS, special=True)
+    assert words.ranked is not None
+    letters = [chr(c) for c in range(256) if chr(c).isalpha()]
+    pieces = [t for t in (library.id_to_token(i).removesuffix("</w>") for i in range(49_000)) if t.isascii() and t.isalpha()]
+    some = ["".join(chance.choices(letters, k=chance.randint(1, 25))) for _ in range(40_000)]
+    some += ["".join(chance.choices(pieces, k=chance.randint(1, 5))) for _ in range(40_000)]
+    some += [word + "".join(chance.choices(packing.MARKS, k=chance.randint(1, 4))) for word in chance.sample(some, 20_000)]
+    some += [a + m + b for m in packing.MARKS for a in ("", "ab", "é", "1", "中", "\u0130") for b in ("", "x", m, "'s", "1")]
+    texts = [" ".join(some[k:k + 400]) for k in range(0, len(some), 400)] + ["", None, "<|endoftext|> a<|endoftext|>..", "ﬁn Å \u1100\u1161"]
+    expected = [library.encode(text or "", add_special_tokens=False).ids for text in texts]
+    ids = lambda tool: [np.frombuffer(raw, "<u4").tolist() for raw in tool.batch(texts)]
+    assert ids(words) == expected == ids(words)
+    monkeypatch.setattr(packing, "REMEMBERED", 500)
+    monkeypatch.setattr(packing, "AT_ONCE", 1000)
+    assert ids(packing.Words(WORDS, special=True)) == expected
+    words = packing.Words(WORDS, special=True)
+    words.ranked = None
+    assert ids(words) == expected
+
+
 def test_marks_after_letters_that_decompose_equal_the_library():
     library = Tokenizer.from_file(WORDS)
     library.encode_special_tokens = True
