@@ -243,7 +243,8 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     frequency, total = _document_counts(labelled.select("text"))
     model = Model(list(languages), np.log((1 + total) / (1 + frequency)).astype(np.float32) + np.float32(1))
     sampled = [row for row in _sample(labelled, languages, sample) if len(row[1])]
-    rows = [(buckets, model.values(buckets, counts), model.languages.index(lang)) for lang, buckets, counts in sampled]
+    place = {lang: k for k, lang in enumerate(model.languages)}
+    rows = [(buckets, model.values(buckets, counts), place[lang]) for lang, buckets, counts in sampled]
     if not rows:
         return Model()
     fit = [row for k, row in enumerate(rows) if k % 5 < 4]
@@ -253,10 +254,12 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
         logits = np.array([values @ weights[buckets] + bias for buckets, values, _ in aside])
         model.temperature = best_temperature(logits, np.array([label for _, _, label in aside]))
     model.familiar = np.zeros((len(languages), BUCKETS), bool)
-    for k, lang in enumerate(model.languages):
-        own = [buckets for at, (name, buckets, _) in enumerate(sampled) if name == lang and at % 5 < 4]
-        if own:
-            model.familiar[k] = np.bincount(np.concatenate(own), minlength=BUCKETS) > RARE * len(own)
+    own: dict[str, list[np.ndarray]] = {}
+    for at, (lang, buckets, _) in enumerate(sampled):
+        if at % 5 < 4:
+            own.setdefault(lang, []).append(buckets)
+    for lang, found in own.items():
+        model.familiar[place[lang]] = np.bincount(np.concatenate(found), minlength=BUCKETS) > RARE * len(found)
     if strange := [model.strangeness(*row[1:]) for at, row in enumerate(sampled) if at % 5 == 4]:
         model.most_strange = max(MOST_STRANGE, MARGIN * float(np.quantile(strange, 0.99)))
     return model

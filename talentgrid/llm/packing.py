@@ -40,7 +40,7 @@ CUT_SENTENCE, CUT_INSIDE = 4, 40
 #: Tokens planned at once.
 STRETCH = 1 << 19
 #: Words whose ids a worker remembers, twice as many with those of the time before, and their length.
-REMEMBERED, REMEMBERED_CHARS = 150_000, 64
+REMEMBERED, REMEMBERED_CHARS = 200_000, 64
 #: Characters of a text handled at once, and of texts whose new words are encoded together.
 AT_ONCE, GROUP_CHARS = 1 << 20, 10_000
 #: A character that is a token of its own; it parts words that are encoded together.
@@ -127,17 +127,20 @@ class Words:
         """Encode forms: those of Latin letters by ranks, others of letters only in one text, as each ends
         one piece, the rest alike but parted by a word of one control character.
         """
-        plain = [word for word in words if word.isalpha()]
-        if self.ranked:
-            latin = [word for word in plain if max(word) < LATIN_END]
-            if self._ranked(latin):
-                plain = list(set(plain).difference(latin))
+        latin, plain, rest = [], [], []
+        for word in words:
+            if not word.isalpha():
+                rest.append(word)
+            elif word.isascii() or max(word) < LATIN_END:
+                latin.append(word)
+            else:
+                plain.append(word)
+        if not (self.ranked and self._ranked(latin)):
+            plain += latin
         if not all([self._cut(plain[at:at + CALL_WORDS], " ", self.ends_word) for at in range(0, len(plain), CALL_WORDS)]):
-            plain = []
-        known = self.known
-        rest = [word for word in words if word not in known]
+            rest += plain
         for word in [word for word in rest if GAP in word]:
-            known[word] = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+            self.known[word] = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         rest = [word for word in rest if GAP not in word]
         for at in range(0, len(rest), CALL_WORDS):
             self._cut(rest[at:at + CALL_WORDS], f" {GAP} ", self.is_gap)
