@@ -18,10 +18,10 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from talentgrid.llm.byte_bpe import slices
 from talentgrid.llm.frames import numbered, pick
@@ -291,8 +291,8 @@ def accepted(docs: DataFrame, model: Model) -> DataFrame:
     """
     plain, names = numbered(docs)
 
-    @F.pandas_udf("boolean")
-    def known(texts):
-        return pd.Series([model.knows(text) for text in texts], dtype=bool)
+    @F.arrow_udf(BooleanType())
+    def known(texts: pa.Array) -> pa.Array:
+        return pa.array([model.knows(text.as_py()) for text in texts], pa.bool_())
 
     return plain.filter(known(F.col(names["text"]))).toDF(*docs.columns)

@@ -99,10 +99,11 @@ class Words:
     plain call has it; else it is text like any other.
     """
 
-    def __init__(self, path: str, special: bool = False):
+    def __init__(self, path: str, special: bool = False, remembered: int | None = None):
         import regex
         from tokenizers import Tokenizer
 
+        self.remembered = remembered or REMEMBERED
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not special
         added = self.tokenizer.get_added_tokens_decoder().values() if special else ()
@@ -230,7 +231,7 @@ class Words:
 
     def _keep(self, new: set[str]) -> None:
         """Encode words that the store doesn't hold and put them there."""
-        if len(self.known) + len(new) > REMEMBERED:
+        if len(self.known) + len(new) > self.remembered:
             self.known, self.old = {}, self.known
         known, before = self.known, self.old
         again = new & before.keys()
@@ -285,8 +286,8 @@ def ends_alnum(word: str) -> bool:
 
 
 @lru_cache(maxsize=2)
-def words_of(path: str, special: bool = False) -> Words:
-    return Words(path, special)
+def words_of(path: str, special: bool = False, remembered: int | None = None) -> Words:
+    return Words(path, special, remembered)
 
 
 def plan(places: list[int], penalties: list[int], limit: int) -> list[int]:
@@ -349,7 +350,9 @@ def windows(doc_ends: list[int], sentence_ends: np.ndarray, limit: int) -> list[
     return plan(places, [kinds[place] for place in places], limit)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, limit: int = 2048, end_id: int = 1) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer_path: str, limit: int = 2048, end_id: int = 1, remembered: int = REMEMBERED
+) -> DataFrame:
     """One row for each piece of a document that lies in one sequence.
 
     Columns: doc_id, start (the document's ids before the piece), length, ids (binary,
@@ -358,10 +361,11 @@ def pack(docs: DataFrame, tokenizer_path: str, limit: int = 2048, end_id: int =
     ends each one), sequence_id and offset (place in the sequence, gapless from 0).  Sequences
     follow the order of rows in a partition and never cross partitions.  A null or empty text
     is its end id alone.  Repeated rows are packed again; a null doc_id stays null; other
-    columns are not returned.
+    columns are not returned.  A worker remembers the ids of ``remembered`` words, and as many from before, some
+    200 bytes each: fewer take more time and change nothing else.
     """
     def work(batches):
-        words = words_of(tokenizer_path, special=True)
+        words = words_of(tokenizer_path, True, remembered)
         partition, made = TaskContext.get().partitionId(), 0
         held: list[tuple] = []  # (doc_id, start, ids of this part, doc_tokens)
         tokens = 0
