@@ -14,6 +14,7 @@ import os
 import statistics
 import sys
 import time
+from datetime import timedelta
 
 from harness import fixtures as fx
 from harness.session import local_session
@@ -42,6 +43,8 @@ def operators(spark, a, p, c):
     loaded = c.filter("gender = 'male'").select("candidate_id")
     return {
         "match_scores": lambda: matching.match_scores(c, p),
+        "match_within": lambda: matching.match_scores(c, p, matching.MatchOptions(within=timedelta(hours=1))),
+        "match_at_85": lambda: matching.match_scores(c, p, matching.MatchOptions(min_score=85, by_rare_skills=True)),
         "match_reasons": lambda: matching.match_reasons(c, p),
         "applications": lambda: matching.applications(c, p),
         "kpi_report_of_match": lambda: kpi.report(matching.applications(c, p), p, c),

@@ -444,6 +444,8 @@ ORACLES: dict[str, str] = {
     "match_scores_aliases": f"WITH {_pairs(aliases=True)} SELECT candidate_id, post_id, category, compatibility_score FROM pair",
     "match_within": "WITH " + _pairs(where="p_time BETWEEN c_time - INTERVAL 60 MINUTE AND c_time + INTERVAL 60 MINUTE")
     + " SELECT candidate_id, post_id, category, compatibility_score FROM pair",
+    "match_at_70": f"WITH {_pairs(min_score=70)} SELECT candidate_id, post_id, category, compatibility_score FROM pair",
+    "match_at_85": f"WITH {_pairs(min_score=85)} SELECT candidate_id, post_id, category, compatibility_score FROM pair",
     "match_reasons": f"WITH {_pairs()} SELECT candidate_id, post_id, match_reason FROM pair",
     "applications": f"WITH {_applications()} {_APPLICATION_ROWS}",
     "applications_distinct_pairs": f"WITH {_applications(distinct=True)} {_APPLICATION_ROWS}",
@@ -588,6 +590,41 @@ WHERE rn = 1 AND candidate_id NOT IN (SELECT 'cand-' || c_custkey FROM customer
   array_to_string(certifications, '|') AS certifications, array_to_string(skills_needed, '|') AS skills_needed,
   platform, employment_type, city, country, language, work_mode, industry, detailed_experience_level,
   salary, years_experience, CAST("timestamp" AS VARCHAR) AS "timestamp" FROM post""",
+    "topic_snapshot": f"""WITH {CAND}, firsts AS (SELECT k % 3 AS p, min(k) AS low FROM cand GROUP BY ALL), kept AS (
+  SELECT p, k FROM cand JOIN firsts ON k % 3 = p WHERE k < low + 600), scans AS (SELECT unnest([1, 2]) AS scan)
+SELECT CAST(scan AS INTEGER) AS scan, CAST(p AS INTEGER) AS partition, count(*) AS records, CAST(min(k) AS BIGINT) AS first, CAST(max(k) AS BIGINT) AS last
+FROM kept CROSS JOIN scans GROUP BY ALL""",
+    "rejected_records": f"""WITH {CAND}, told AS (SELECT k, CASE WHEN k % 11 = 0 THEN 'no object' WHEN k % 13 = 0 THEN 'unfit field'
+  WHEN k % 17 = 0 THEN 'no object' WHEN k % 19 = 0 THEN 'no value' END AS reason FROM cand)
+SELECT CASE WHEN reason IS NULL OR reason = 'unfit field' THEN 'row' ELSE 'row of NULLs' END AS outcome, count(*) AS records,
+  CAST(NULL AS BIGINT) AS offsets FROM told GROUP BY ALL
+UNION ALL SELECT reason, count(*), CAST(sum(k) AS BIGINT) FROM told WHERE reason IS NOT NULL GROUP BY ALL""",
+    "processing_time": f"WITH {_applications()} SELECT CAST(1 AS BIGINT) AS times, count(*) AS applications FROM application",
+    "table_definition": f"WITH {POST} SELECT post_id, category, salary, len(skills_needed) AS skills FROM post",
+    "page_by_index": f"""WITH {APP}, placed AS (SELECT *, row_number() OVER (ORDER BY compatibility_score DESC NULLS LAST, application_id) AS row FROM app)
+SELECT application_id, compatibility_score, status, row FROM placed
+WHERE (row - 1) // 50 IN (2, ((SELECT count(*) FROM app) - 1) // 50)""",
+    "stream_indicators": f"""WITH {APP}, {_BANDS}, s AS (SELECT status, CAST(compatibility_score AS INTEGER) AS s FROM app), box AS (
+  SELECT status, count(*) AS n, min(s) AS lo, quantile_cont(s, 0.25) AS q1, quantile_cont(s, 0.5) AS median, quantile_cont(s, 0.75) AS q3,
+    max(s) AS hi FROM s WHERE status IS NOT NULL AND s IS NOT NULL GROUP BY status), j AS (
+  SELECT box.*, s, s BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside FROM box JOIN s USING (status) WHERE s IS NOT NULL), boxes AS (
+  SELECT status, n, lo, q1, median, q3, hi, min(s) FILTER (WHERE inside) AS lw, max(s) FILTER (WHERE inside) AS uw,
+    count(*) FILTER (WHERE NOT inside) AS outliers FROM j GROUP BY ALL), shares AS (
+  SELECT status, count(*) AS n FROM app WHERE status IS NOT NULL GROUP BY status)
+SELECT 'total_applications' AS indicator, 'all' AS key, count(*) AS n, CAST(NULL AS DOUBLE) AS value FROM app
+UNION ALL SELECT 'avg_match_score', 'all', NULL, round(avg(s), 1) FROM s
+UNION ALL SELECT 'shortlisted', 'all', count(*) FILTER (WHERE status = 'Shortlisted'), NULL FROM app
+UNION ALL SELECT 'time_band', time_interval, applications, NULL FROM labelled
+UNION ALL SELECT * FROM (SELECT 'peak_band', time_interval, applications, NULL FROM labelled ORDER BY applications DESC, band LIMIT 1)
+UNION ALL SELECT * FROM (SELECT 'job_family', job_post_family_group, count(*) AS n, NULL FROM app
+  WHERE job_post_family_group IS NOT NULL GROUP BY ALL ORDER BY n DESC, job_post_family_group LIMIT 10)
+UNION ALL SELECT 'score_bin', CAST(greatest(0, least(19, s // 5)) AS VARCHAR), count(*), NULL FROM s WHERE s IS NOT NULL GROUP BY ALL
+UNION ALL SELECT 'status', status, n, round(n * 100.0 / (SELECT sum(n) FROM shares), 2) FROM shares
+UNION ALL SELECT 'score_n', status, NULL, n FROM boxes UNION ALL SELECT 'score_min', status, NULL, lo FROM boxes
+UNION ALL SELECT 'score_q1', status, NULL, round(q1, 3) FROM boxes UNION ALL SELECT 'score_median', status, NULL, round(median, 3) FROM boxes
+UNION ALL SELECT 'score_q3', status, NULL, round(q3, 3) FROM boxes UNION ALL SELECT 'score_max', status, NULL, hi FROM boxes
+UNION ALL SELECT 'score_lower_whisker', status, NULL, lw FROM boxes UNION ALL SELECT 'score_upper_whisker', status, NULL, uw FROM boxes
+UNION ALL SELECT 'score_outliers', status, NULL, outliers FROM boxes""",
     "stream_table_load": f"""WITH {CAND} SELECT candidate_id, name, seniority, CAST("timestamp" AS VARCHAR) AS "timestamp",
   3 * (SELECT count(*) FROM cand) AS delivered FROM cand""",
 }

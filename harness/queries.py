@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from harness import fixtures as fx
 from talentgrid import schemas, vocab
 from talentgrid.functions import draws, levels, scoring
+from talentgrid.functions.lookup import literal_table, lookup
 from talentgrid.operators import enrich, families, kpi, loading, matching, mixes, paging, quality
 from talentgrid.plans import applications as plans, tables
 from talentgrid.sinks.places import new_folder, shared_folder
-from talentgrid.sinks.tables import counted, csv_ready, parquet_batches, record_batches, write_csv
+from talentgrid.sinks.tables import committed_batches, counted, csv_ready, read_committed, record_batches, write_csv
 from talentgrid.sinks.topics import as_records
 from talentgrid.sources.dimensions import dimensions
+from talentgrid.sources.tables import create_table
 from talentgrid.sources.topics import TopicSource, decode
 from talentgrid.streaming import jobs
 
@@ -57,6 +59,21 @@ def match_within(spark, sf_dir):
     return matching.match_scores(fx.candidates(spark, sf_dir), fx.posts(spark, sf_dir), options)
 
 
+def _by_rare_skills(spark, sf_dir, min_score):
+    options = matching.MatchOptions(min_score=min_score, by_rare_skills=True)
+    return matching.match_scores(fx.candidates(spark, sf_dir), fx.posts(spark, sf_dir), options)
+
+
+@query
+def match_at_70(spark, sf_dir):
+    return _by_rare_skills(spark, sf_dir, 70)
+
+
+@query
+def match_at_85(spark, sf_dir):
+    return _by_rare_skills(spark, sf_dir, 85)
+
+
 @query
 def match_reasons(spark, sf_dir):
     return matching.match_reasons(fx.candidates(spark, sf_dir), fx.posts(spark, sf_dir))
@@ -71,6 +88,14 @@ def applications(spark, sf_dir):
     return _text(_applications(spark, sf_dir).drop("timestamp"), "application_date")
 
 
+@query
+def processing_time(spark, sf_dir):
+    """All applications of one run carry the time of that run."""
+    return _applications(spark, sf_dir).agg(
+        F.count_distinct("timestamp").alias("times"), F.count("*").alias("applications")
+    )
+
+
 @query
 def applications_distinct_pairs(spark, sf_dir):
     found = _applications(spark, sf_dir, matching.MatchOptions(distinct_pairs=True))
@@ -291,9 +316,8 @@ def continent_mix(spark, sf_dir):
 
 @query
 def conformity_report(spark, sf_dir):
-    terms = spark.createDataFrame(
-        [(category, word) for category, words in fx.SKILL_VOCABULARY.items() for word in words], "category string, term string"
-    )
+    rows = [(category, word) for category, words in fx.SKILL_VOCABULARY.items() for word in words]
+    terms = literal_table(spark, ["category", "term"], rows)
     return quality.conformity_report(
         fx.posts(spark, sf_dir), fx.candidates(spark, sf_dir), terms, fx.CERT_VOCABULARY
     )
@@ -417,6 +441,17 @@ def page_count(spark, sf_dir):
     return paging.page_count(fx.application_events(spark, sf_dir), size=25)
 
 
+@query
+def page_by_index(spark, sf_dir):
+    """The third and the last page by the stored index, with their rows' numbers."""
+    path, size = new_folder(spark, "pages"), 50
+    paging.write_page_index(fx.application_events(spark, sf_dir), "compatibility_score", "application_id", path, ascending=False)
+    pages = []
+    for number in (3, paging.indexed_pages(spark, path, size)):
+        pages.append(paging.page_by_index(spark, path, number, size))
+    return pages[0].unionAll(pages[1]).select("application_id", "compatibility_score", "status", "row")
+
+
 @query
 def numbered_pages(spark, sf_dir):
     shared_folder(spark)
@@ -472,6 +507,17 @@ def json_roundtrip_posts(spark, sf_dir):
     )
 
 
+@query
+def table_definition(spark, sf_dir):
+    """A table defined by the record schema, twice, filled and read back by its name."""
+    path = new_folder(spark, "defined")
+    name = f"posts_{path.rsplit('-', 1)[1]}"
+    for _ in range(2):
+        create_table(spark, name, schemas.JOB_POST, path)
+    fx.posts(spark, sf_dir).select(*schemas.JOB_POST.fieldNames()).write.insertInto(name)
+    return spark.table(name).select("post_id", "category", "salary", F.size("skills_needed").cast("bigint").alias("skills"))
+
+
 @query
 def table_load_dedup(spark, sf_dir):
     """Orders bring candidate records over and over; one market segment is loaded already."""
@@ -499,6 +545,62 @@ def csv_export(spark, sf_dir):
     return back
 
 
+def numbered_records(spark, sf_dir) -> DataFrame:
+    """Candidate records as a topic of three partitions; the offset is the number in the id."""
+    number = F.regexp_extract("candidate_id", r"(\d+)$", 1).cast("bigint")
+    rows = fx.candidates(spark, sf_dir)
+    records = topic_rows(rows.withColumn("number", number), "number", vocab.CANDIDATE_TOPIC)
+    number = F.col("key").cast("string").cast("bigint")
+    return records.withColumns({"partition": (number % 3).cast("int"), "offset": number})
+
+
+@query
+def topic_snapshot(spark, sf_dir):
+    """Two scans of a snapshot, with all records delivered once more at higher offsets between them."""
+    root = new_folder(spark, "topics")
+    records = numbered_records(spark, sf_dir)
+    source = TopicSource(format="parquet", root=root)
+
+    def deliver(rows):
+        rows.write.mode("append").parquet(f"{root}/{vocab.CANDIDATE_TOPIC}")
+
+    deliver(records)
+    held = source.snapshot(spark, vocab.CANDIDATE_TOPIC, limit=600)
+    before = held.read(spark)
+    deliver(records.withColumn("offset", F.col("offset") + 100_000_000))
+    scans = before.withColumn("scan", F.lit(1)).unionAll(held.read(spark).withColumn("scan", F.lit(2)))
+    return scans.groupBy("scan", "partition").agg(
+        F.count("*").alias("records"), F.min("offset").alias("first"), F.max("offset").alias("last")
+    )
+
+
+@query
+def rejected_records(spark, sf_dir):
+    """Candidate records, some cut short, some with an unfit field, some without a value: both outputs of one batch."""
+    root, out = new_folder(spark, "topics"), new_folder(spark, "parsed")
+    text, number = F.col("value").cast("string"), F.col("offset")
+    value = (
+        F.when(number % 11 == 0, F.left(text, F.length(text) - 1))
+        .when(number % 13 == 0, F.concat(F.lit('{"graduation_year":"soon",'), F.substring(text, 2, 1 << 20)))
+        .when(number % 17 == 0, F.lit("[]"))
+        .when(number % 19 == 0, F.lit(None))
+        .otherwise(text)
+    )
+    records = numbered_records(spark, sf_dir).withColumn("value", value.cast("binary"))
+    records.repartition(3, "offset").write.parquet(f"{root}/{vocab.CANDIDATE_TOPIC}")
+    own = jobs.stream_session(spark, STREAM_PARTITIONS)
+    stream = TopicSource(format="parquet", root=root, options={"maxFilesPerTrigger": "2"}).stream(own, vocab.CANDIDATE_TOPIC)
+    running = jobs.start_outputs(
+        stream, f"{out}/checkpoint", tables.decoded(committed_batches(f"{out}/rows"), schemas.CANDIDATE),
+        tables.rejected(committed_batches(f"{out}/rejects"), schemas.CANDIDATE), trigger={"availableNow": True},
+    )
+    running.awaitTermination()
+    named = F.when(F.col("candidate_id").isNull(), "row of NULLs").otherwise("row")
+    rows = read_committed(spark, f"{out}/rows", schemas.CANDIDATE).select(named.alias("outcome"), F.lit(None).cast("bigint").alias("at"))
+    bad = read_committed(spark, f"{out}/rejects").select(F.col("reason").alias("outcome"), F.col("offset").alias("at"))
+    return rows.unionAll(bad).groupBy("outcome").agg(F.count("*").alias("records"), F.sum("at").alias("offsets"))
+
+
 # -- streams ----------------------------------------------------------------
 
 STREAM_PARTITIONS = 8
@@ -517,13 +619,14 @@ def stream_match(spark, sf_dir):
     own = jobs.stream_session(spark, STREAM_PARTITIONS)
     source = TopicSource(format="parquet", root=root, options={"maxFilesPerTrigger": "2"})
     running = jobs.start_outputs(
-        plans.stream_applications(own, source),
+        plans.stream_applications(own, source, checkpoint=f"{out}/checkpoint"),
         f"{out}/checkpoint",
-        parquet_batches(f"{out}/table"),
+        committed_batches(f"{out}/table"),
         trigger={"availableNow": True},
     )
     running.awaitTermination()
-    return _text(spark.read.parquet(f"{out}/table").drop("timestamp", "batch_id"), "application_date")
+    table = read_committed(spark, f"{out}/table", schemas.APPLICATION)
+    return _text(table.drop("timestamp", "batch_id"), "application_date")
 
 
 @query
@@ -543,7 +646,7 @@ def stream_table_load(spark, sf_dir):
         trigger={"availableNow": True},
     )
     running.awaitTermination()
-    loaded = spark.read.parquet(f"{out}/table").drop("batch_id")
+    loaded = read_committed(spark, f"{out}/table", schemas.CANDIDATE)
     delivered = F.lit(sum(sizes)).cast("bigint").alias("delivered")
     return _text(loaded, "timestamp").select("candidate_id", "name", "seniority", "timestamp", delivered)
 
@@ -551,6 +654,21 @@ def stream_table_load(spark, sf_dir):
 @query
 def stream_kpi(spark, sf_dir):
     """The counted indicators of an application stream, after its last refresh."""
+    named = {"total_applications": "applications", "time_band": "time_band", "score_bin": "score_bin", "status": "status"}
+    tally, found = _streamed_tally(spark, sf_dir)
+    families = tally.filter("kind = 'job_family' AND key IS NOT NULL").select(F.lit("job_family").alias("kpi"), "key", "n")
+    kpi = lookup(named, F.col("indicator"))
+    return found.select(kpi.alias("kpi"), "key", "n").filter("kpi IS NOT NULL").unionAll(families)
+
+
+@query
+def stream_indicators(spark, sf_dir):
+    """All indicators of an application stream: totals, mean, shares, histogram, boxes, bands, families."""
+    return _streamed_tally(spark, sf_dir)[1]
+
+
+def _streamed_tally(spark, sf_dir):
+    """Counts and indicators of an application stream after several refreshes and a merge."""
     root, out = new_folder(spark, "topics"), new_folder(spark, "indicators")
     rows = fx.application_events(spark, sf_dir)
     topic_rows(rows, "application_id", vocab.APPLICATION_TOPIC).repartition(3, "key").write.parquet(
@@ -560,7 +678,7 @@ def stream_kpi(spark, sf_dir):
     source = TopicSource(format="parquet", root=root, options={"maxFilesPerTrigger": "1"})
     stream = decode(source.stream(own, vocab.APPLICATION_TOPIC), schemas.APPLICATION)
     running = jobs.start_indicators(
-        stream, f"{out}/table", f"{out}/checkpoint", trigger={"availableNow": True}
+        stream, f"{out}/table", f"{out}/checkpoint", trigger={"availableNow": True}, merge_every=2
     )
     running.awaitTermination()
-    return jobs.read_indicators(spark, f"{out}/table")
+    return jobs.read_tally(spark, f"{out}/table"), jobs.read_indicators(spark, f"{out}/table")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -32,6 +33,12 @@ def literal_table(spark: SparkSession, columns: Sequence[str], rows: Iterable[Se
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
 
 
+def given_table(spark: SparkSession, schema: str, rows: Iterable[Mapping[str, object]]) -> DataFrame:
+    """A small table of values that come from data, held in the plan as one constant (not as SQL text)."""
+    text = json.dumps(list(rows), ensure_ascii=True)
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{schema}>>")))
+
+
 def literal_map(table: Mapping[str, object]) -> Column:
     """A constant map; Catalyst folds it, so a row pays for the lookup only."""
     return F.expr(f"map({', '.join(constant(cell) for pair in table.items() for cell in pair)})")

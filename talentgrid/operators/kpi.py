@@ -2,7 +2,8 @@
 
 Each indicator is a small DataFrame.  Rows are reduced to counts by a map-side
 combine first; everything after that (shares, quartiles, orderings) works on the
-counts.  Indicators skip NULL keys.
+counts.  Indicators skip NULL keys.  ``weight`` names a column that says how many rows a
+row stands for, so that tables of counts give the same indicators as the rows counted.
 """
 
 from __future__ import annotations
@@ -24,6 +25,11 @@ def _scalar(table: DataFrame, value: Column) -> Column:
     return table.agg(value.alias("value")).scalar()
 
 
+def _rows(weight: str | None) -> Column:
+    """Number of rows, each standing for ``weight`` of them if given."""
+    return F.count("*") if weight is None else F.coalesce(F.sum(weight), F.lit(0).cast("bigint"))
+
+
 def totals(applications: DataFrame, posts: DataFrame, candidates: DataFrame) -> DataFrame:
     """The headline numbers, one row; an absent column gives NULL or 0."""
     columns = applications.columns
@@ -76,27 +82,27 @@ def source_counts(**tables: DataFrame) -> DataFrame:
     return out
 
 
-def value_counts(table: DataFrame, column: str) -> DataFrame:
+def value_counts(table: DataFrame, column: str, weight: str | None = None) -> DataFrame:
     """(column, n), NULL keys dropped."""
     return (
-        table.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+        table.filter(F.col(column).isNotNull()).groupBy(column).agg(_rows(weight).alias("n"))
     )
 
 
-def value_shares(table: DataFrame, column: str) -> DataFrame:
+def value_shares(table: DataFrame, column: str, weight: str | None = None) -> DataFrame:
     """(column, n, percent of all counted rows)."""
-    counts = value_counts(table, column)
+    counts = value_counts(table, column, weight)
     total = _scalar(counts, F.sum("n"))
     return counts.withColumn("percent", F.round(F.col("n") * 100.0 / total, 2))
 
 
-def top_values(table: DataFrame, column: str, k: int) -> DataFrame:
+def top_values(table: DataFrame, column: str, k: int, weight: str | None = None) -> DataFrame:
     """The ``k`` most frequent values; ties go to the smaller value."""
-    return value_counts(table, column).orderBy(F.desc("n"), column).limit(k)
+    return value_counts(table, column, weight).orderBy(F.desc("n"), column).limit(k)
 
 
-def top_families(applications: DataFrame, k: int = 10) -> DataFrame:
-    return top_values(applications, "job_post_family_group", k)
+def top_families(applications: DataFrame, k: int = 10, weight: str | None = None) -> DataFrame:
+    return top_values(applications, "job_post_family_group", k, weight)
 
 
 def top_countries(posts: DataFrame, k: int = 15) -> DataFrame:
@@ -126,13 +132,13 @@ def _score_bin(score: Column) -> Column:
     return equal_width_bin(score.cast("double"), F.lit(0.0), F.lit(float(top)), SCORE_BINS)
 
 
-def score_histogram(applications: DataFrame) -> DataFrame:
+def score_histogram(applications: DataFrame, weight: str | None = None) -> DataFrame:
     """(bin, bin_from, bin_to, n): 20 bins of width 5 over [0, 100], the last one closed."""
     return (
-        applications.select(_score_bin(F.col("compatibility_score")).alias("bin"))
+        applications.withColumn("bin", _score_bin(F.col("compatibility_score")))
         .filter(F.col("bin").isNotNull())
         .groupBy("bin")
-        .agg(F.count("*").alias("n"))
+        .agg(_rows(weight).alias("n"))
         .select(
             "bin",
             (F.col("bin") * SCORE_BIN_WIDTH).alias("bin_from"),
@@ -160,7 +166,7 @@ def salary_histogram(posts: DataFrame, bins: int = SALARY_BINS) -> DataFrame:
     )
 
 
-def score_box(applications: DataFrame) -> DataFrame:
+def score_box(applications: DataFrame, weight: str | None = None) -> DataFrame:
     """Box statistics of the score per status: quartiles, whiskers at 1.5 IQR, outliers.
 
     Scores are whole numbers from 0 to 100, so the (status, score) counts hold at
@@ -169,7 +175,7 @@ def score_box(applications: DataFrame) -> DataFrame:
     counts = (
         applications.filter(F.col("status").isNotNull() & F.col("compatibility_score").isNotNull())
         .groupBy("status", F.col("compatibility_score").alias("score"))
-        .agg(F.count("*").alias("n"))
+        .agg(_rows(weight).alias("n"))
     )
     boxes = counts.groupBy("status").agg(
         F.sum("n").alias("n"),
@@ -246,3 +252,74 @@ def report(applications: DataFrame, posts: DataFrame, candidates: DataFrame) ->
         candidates, candidates=F.lit("all"), education_level=F.col("education_level")
     )
     return application_tally(applications).unionAll(on_posts).unionAll(on_candidates)
+
+
+#: what a tally of applications is grouped by; every application is in each of the three kinds once
+TALLY = "kind string, key string, score int, n bigint"
+
+
+def joint_tally(applications: DataFrame) -> DataFrame:
+    """(kind, key, score, n): counts that all indicators of applications follow from; also runs on a stream.
+
+    ``status`` counts are by status and score, so that means, shares and boxes follow from them;
+    ``time_band`` and ``job_family`` counts are by that key.  NULL keys are counted too.
+    """
+    none = F.lit(None).cast("int")
+
+    def cell(kind: str, key: Column, score: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), key.cast("string").alias("key"), score.alias("score"))
+
+    cells = F.array(
+        cell("status", F.col("status"), F.col("compatibility_score").cast("int")),
+        cell("time_band", time_band_index(F.col("application_date")), none),
+        cell("job_family", F.col("job_post_family_group"), none),
+    )
+    return applications.select(F.inline(cells)).groupBy("kind", "key", "score").agg(F.count("*").alias("n"))
+
+
+def indicators_of(tally: DataFrame) -> DataFrame:
+    """(indicator, key, n, value): every indicator of applications from a joint tally.
+
+    Totals and shares as :func:`totals`, :func:`value_shares`, :func:`score_histogram`, :func:`top_families`,
+    :func:`by_time_band`, :func:`peak_band` and :func:`score_box` give them; a box has a row for each of its numbers.
+    """
+    by_status = tally.filter("kind = 'status'").select(
+        F.col("key").alias("status"), F.col("score").alias("compatibility_score"), "n"
+    )
+    bands = tally.filter("kind = 'time_band'").select(F.col("key").cast("int").alias("band"), "n")
+    families = tally.filter("kind = 'job_family'").select(F.col("key").alias("job_post_family_group"), "n")
+    scored = F.when(F.col("compatibility_score").isNotNull(), F.col("n"))
+    mean = F.sum(F.col("compatibility_score") * scored) / F.sum(scored)
+    listed = F.sum(F.when(F.col("status") == "Shortlisted", F.col("n")))
+    nothing, no_value = F.lit(None).cast("bigint"), F.lit(None).cast("double")
+
+    def row(indicator: str, key: Column, n: Column = nothing, value: Column = no_value) -> Column:
+        return F.struct(
+            F.lit(indicator).alias("indicator"), key.cast("string").alias("key"),
+            n.cast("bigint").alias("n"), value.cast("double").alias("value"),
+        )
+
+    def rows(table: DataFrame, *cells: Column) -> DataFrame:
+        return table.select(F.inline(F.array(*cells)))
+
+    whole = by_status.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.round(mean, 1).alias("mean"), F.coalesce(listed, F.lit(0)).alias("listed")
+    )
+    labelled = value_counts(bands, "band", "n")
+    label = time_band_label(F.col("band"))
+    box = ["n", "min", "q1", "median", "q3", "max", "lower_whisker", "upper_whisker", "outliers"]
+    return (
+        rows(
+            whole, row("total_applications", F.lit("all"), F.col("n")),
+            row("avg_match_score", F.lit("all"), value=F.col("mean")), row("shortlisted", F.lit("all"), F.col("listed")),
+        )
+        .unionAll(rows(labelled, row("time_band", label, F.col("n"))))
+        .unionAll(rows(labelled.orderBy(F.desc("n"), "band").limit(1), row("peak_band", label, F.col("n"))))
+        .unionAll(rows(top_families(families, weight="n"), row("job_family", F.col("job_post_family_group"), F.col("n"))))
+        .unionAll(rows(score_histogram(by_status, "n"), row("score_bin", F.col("bin"), F.col("n"))))
+        .unionAll(rows(value_shares(by_status, "status", "n"), row("status", F.col("status"), F.col("n"), F.col("percent"))))
+        .unionAll(rows(
+            score_box(by_status, "n"),
+            *[row(f"score_{name}", F.col("status"), value=F.col(name)) for name in box],
+        ))
+    )

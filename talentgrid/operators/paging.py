@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import json
+from bisect import bisect_right
+from itertools import accumulate
+
+from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F, types as T
 
 PAGE_SIZES = (10, 25, 50, 100)
 
@@ -75,3 +79,49 @@ def numbered_pages(
     return places.withColumn("row", row).withColumn("page", F.ceil(F.col("row") / size).cast("bigint")).drop(
         "_task", "_place"
     )
+
+
+def write_page_index(table: DataFrame, field: str, key: str, path: str, ascending: bool = True) -> None:
+    """Store a table so that any of its pages can be read from the ranges that hold it.
+
+    The sort deals ranges of rows to tasks, and each range is stored as one folder.  The index says
+    how many rows each holds; it is written last.
+    """
+    spark = table.sparkSession
+    ranges = sort_rows(table, field, ascending, key).withColumn("_range", F.spark_partition_id())
+    ranges.write.partitionBy("_range").parquet(f"{path}/rows")
+    counts = spark.read.schema(ranges.schema).parquet(f"{path}/rows").groupBy("_range").agg(F.count("*").alias("rows"))
+    counts.coalesce(1).write.parquet(f"{path}/index")
+    how = [(field, ascending, key, ranges.schema.json())]
+    spark.createDataFrame(how, "field string, ascending boolean, key string, columns string").coalesce(1).write.parquet(f"{path}/order")
+
+
+def _index(spark: SparkSession, path: str) -> list[Row]:
+    """The rows of a page index in order, one for each range."""
+    return sorted(spark.read.parquet(f"{path}/index").collect(), key=lambda entry: entry["_range"])
+
+
+def indexed_pages(spark: SparkSession, path: str, size: int = PAGE_SIZES[0]) -> int:
+    """Number of pages of an indexed table; an empty one has one page."""
+    return max(1, -(-sum(entry.rows for entry in _index(spark, path)) // size))
+
+
+def page_by_index(spark: SparkSession, path: str, number: int, size: int = PAGE_SIZES[0]) -> DataFrame:
+    """Page ``number`` (from 1) of a table stored by :func:`write_page_index`, with each row's number.
+
+    Only the ranges that the page touches are read, one or two unless pages are larger than ranges.
+    """
+    index, order = _index(spark, path), spark.read.parquet(f"{path}/order").first()
+    rows = spark.read.schema(T.StructType.fromJson(json.loads(order.columns))).parquet(f"{path}/rows")
+    ends = list(accumulate(entry.rows for entry in index))
+    start = (number - 1) * size
+    first, last = bisect_right(ends, start), bisect_right(ends, start + size - 1)
+    touched = index[first:last + 1]
+    if not touched:
+        return rows.drop("_range").withColumn("row", F.lit(0).cast("bigint")).filter("false")
+    before = ends[first] - touched[0].rows
+    # the rows before the page's end in these ranges, numbered in their order
+    found = sort_rows(rows.filter(F.col("_range").isin([entry["_range"] for entry in touched])), order.field, order.ascending, order.key)
+    page_rows = found.drop("_range").offset(start - before).limit(size)
+    place = F.row_number().over(Window.orderBy(*_order(order.field, order.ascending, order.key)))  # one page of rows
+    return page_rows.withColumn("row", (place + start).cast("bigint"))

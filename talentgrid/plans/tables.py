@@ -2,47 +2,121 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from talentgrid.operators.loading import new_records
-from talentgrid.sinks.tables import BatchWriter, parquet_batches
-from talentgrid.sources.topics import TopicSource, decode
+from talentgrid.operators.loading import first_per_key, new_records
+from talentgrid.sinks.tables import BatchWriter, committed_batches, parquet_batches
+from talentgrid.sources.tables import read_if_there
+from talentgrid.sources.topics import TopicSource, decode, rejects
 from talentgrid.streaming.jobs import start_outputs
 
+#: how rows are packed as JSON and unpacked, without loss
+JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
 
 def new_key_batches(path: str, schema: T.StructType, key: str, *order: str) -> BatchWriter:
     """Write the records of a micro-batch whose key no other batch has brought.
 
-    A replayed batch doesn't look at what its own first attempt left, and overwrites it.
+    A replayed batch doesn't look at what its own first attempt left, and overwrites it.  Each
+    batch reads all keys of the table, so this is for tables that other jobs fill as well;
+    :func:`mark_first_records` keeps the keys in the stream's state instead.
     """
     write = parquet_batches(path)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        try:
-            held = spark.read.schema(
-                T.StructType([*schema, T.StructField("batch_id", T.LongType())])
-            ).parquet(path).filter(F.col("batch_id") != batch_id)
-        except AnalysisException:  # the first batch makes the table
-            held = spark.createDataFrame([], schema)
-        write(new_records(batch, held, key, *order), batch_id)
+        held = read_if_there(
+            batch.sparkSession, path, T.StructType([*schema, T.StructField("batch_id", T.LongType())])
+        )
+        if held is None:  # the first batch makes the table
+            write(first_per_key(batch, key, *order), batch_id)
+        else:
+            write(new_records(batch, held.filter(F.col("batch_id") != batch_id), key, *order), batch_id)
 
     return run
 
 
+def _mark_first(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """All records of a key, the least one marked if no earlier micro-batch has brought the key.
+
+    One record is held back at a time, however many there are.  The state is a mark.
+    """
+    held, place = None, None
+    counts = not pd.isna(key[0]) and not state.exists
+    for rows in frames:
+        records = rows["record"].to_numpy(object, copy=True)
+        if counts:
+            orders = list(zip(*[rows[name] for name in rows.columns[3:]]))
+            at = min(range(len(orders)), key=orders.__getitem__)
+            if place is None or orders[at] < place:
+                place, held, records[at] = orders[at], records[at], held
+            records = records[[record is not None for record in records]]
+        if len(records):
+            yield pd.DataFrame({"record": records, "first": np.zeros(len(records), bool)})
+    if held is not None:
+        state.update((True,))
+        yield pd.DataFrame({"record": [held], "first": [True]})
+
+
+def mark_first_records(rows: DataFrame, key: str, *order: str) -> DataFrame:
+    """All records of a stream with ``first``: true for one record of each key, in the micro-batch that brings the key.
+
+    Of a micro-batch's records of one key the first by ``order`` (numbers or times, NULL first) counts,
+    of equal ones that with the least hash, as in :func:`first_per_key`.  Keys that have been seen are marks
+    in the state store, so a micro-batch costs what its own records cost, however large the
+    table has become.  Records without a key are never marked.
+    """
+    others = [name for name in rows.columns if name != key]
+    kinds, lowest = dict(rows.dtypes), F.lit(-(1 << 63))
+
+    def place(name: str) -> Column:
+        value = F.unix_micros(name) if kinds[name] == "timestamp" else F.col(name).cast("bigint")
+        return F.coalesce(value, lowest)
+
+    digest = F.xxhash64(*others)
+    packed = rows.select(
+        F.col(key).alias("key"), F.when(F.col(key).isNull(), digest).alias("part"),  # records without a key spread
+        F.to_json(F.struct("*"), JSON).alias("record"),
+        *[place(name).alias(f"order{at}") for at, name in enumerate(order)], digest.alias("hash"),
+    )
+    marked = packed.groupBy("key", "part").applyInPandasWithState(
+        _mark_first, "record string, first boolean", "seen boolean", "append", GroupStateTimeout.NoTimeout
+    )
+    return marked.select(F.from_json("record", rows.schema, JSON).alias("row"), "first").select("row.*", "first")
+
+
+def _firsts(write: BatchWriter) -> BatchWriter:
+    return lambda batch, batch_id: write(batch.filter("first").drop("first"), batch_id)
+
+
+def _all(write: BatchWriter) -> BatchWriter:
+    return lambda batch, batch_id: write(batch.drop("first"), batch_id)
+
+
+def decoded(write: BatchWriter, schema: T.StructType) -> BatchWriter:
+    """An output of topic records that gets them decoded."""
+    return lambda batch, batch_id: write(decode(batch, schema), batch_id)
+
+
+def rejected(write: BatchWriter, schema: T.StructType) -> BatchWriter:
+    """An output of topic records that gets those which don't parse, with their offsets and texts."""
+    return lambda batch, batch_id: write(rejects(batch, schema), batch_id)
+
+
 def start_table_load(
     spark: SparkSession, source: TopicSource, topic: str, schema: T.StructType, key: str,
     path: str, checkpoint: str, *more: BatchWriter, trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
     """Decode a topic as it grows and load each key's first record into a Parquet table.
 
-    Rows carry their ``batch_id``; records without a key are left out.  ``more`` outputs get
-    every decoded record.
+    The table is one of committed batches (:func:`talentgrid.sinks.tables.read_committed`); records without a key
+    are left out.  ``more`` outputs get every decoded record.
     """
-    rows = decode(source.stream(spark, topic), schema)
-    writer = new_key_batches(path, schema, key, "timestamp")
-    return start_outputs(rows, checkpoint, writer, *more, trigger=trigger)
+    rows = mark_first_records(decode(source.stream(spark, topic), schema), key, "timestamp")
+    outputs = [_firsts(committed_batches(path)), *map(_all, more)]
+    return start_outputs(rows, checkpoint, *outputs, trigger=trigger)

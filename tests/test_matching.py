@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,13 +96,15 @@ def test_a_large_category_is_cut_into_bounded_cells(spark):
         [fill(schemas.JOB_POST, post_id=f"p{i}", category="Consulting") for i in range(500)], schemas.JOB_POST
     )
     have, need, key = m.prepare_candidates(c), m.prepare_posts(p), ["category"]
-    counts = m._counts(have, need, key)
-    grid = m.fit_grid(counts, MatchOptions(block_rows=100))
-    assert (grid.block_rows, grid.copies) == (100, 20)
-    for copies in (20, 1000):  # the second goes through the extra spread
+    weights, options = m._weigh(have, need), MatchOptions(block_rows=100)
+    assert weights == {"Consulting": (2000, 500, [])}
+    terms, (grid, given), (again, counted) = (
+        m._terms_table(spark, weights), m._given_plan(spark, weights, options), m._counted_plan(m._counts(have, need, key), options)
+    )
+    assert (grid.block_rows, grid.copies) == (100, 20) and grid == again
+    for copies, plan in ((20, given), (1000, counted)):  # the second goes through the extra spread
         grid = m.Grid(100, grid.partitions, copies)
-        plan = m._category_plan(counts, need, key, grid)
-        cells = m._placed(have, "c", plan, key, grid).groupBy("c_block", "p_block").count()
+        cells = m._placed(have, "c", plan, terms, key, grid).groupBy("c_block", "p_block").count()
         stats = cells.agg(F.count("*"), F.max("count"), F.sum("count")).first()
         assert stats[0] == 20 * 5 and stats[1] < 160 and stats[2] == 2000 * 5
     assert m.match_scores(c, p, MatchOptions(block_rows=100)).count() == 2000 * 500
@@ -151,3 +154,33 @@ def test_keyed_draws_repeat_and_random_ones_differ(spark, sf_dir):
     assert ids(MatchOptions(random_seed=1)) != ids(MatchOptions(random_seed=2))
     rate = len(ids(MatchOptions(random_seed=1))) / len(ids())
     assert 0.9 < rate < 1.1
+
+
+@pytest.mark.parametrize("pool, options", [
+    (20, MatchOptions(by_rare_skills=True)),
+    (20, MatchOptions(by_rare_skills=True, min_score=70)),
+    (400, MatchOptions(by_rare_skills=True, min_score=70, block_rows=8, partitions=5)),  # more skills than bits
+    (400, MatchOptions(by_rare_skills=True, min_score=85)),
+    (20, MatchOptions(by_rare_skills=True, min_score=85)),
+    (6, MatchOptions(by_rare_skills=True, min_score=95, rank_aliases=True)),
+    (20, MatchOptions(by_rare_skills=True, min_score=60, within=dt.timedelta(minutes=30), block_rows=8)),
+])
+def test_pairs_by_rare_skills_equal_brute_force(spark, pool, options):
+    cs, ps, c, p = make(spark, 11, 150, 110, pool)
+    plain = replace(options, by_rare_skills=False)
+    rows = lambda chosen: Counter((r.candidate_id, r.post_id, r.compatibility_score) for r in m.match_scores(c, p, chosen).collect())
+    got = rows(options)
+    assert got == rows(plain)
+    if not options.rank_aliases:
+        assert got == Counter(row[:3] for row in brute(cs, ps, options.min_score, options.within))
+    counts = m.pairs_tried(c, p, replace(options, within=None)).first()
+    if options.min_score >= 70 and pool == 400:
+        assert 0 < counts.by_rare_skills < counts.every
+    if options.min_score >= 95:
+        assert counts.by_rare_skills < counts.every
+
+
+def test_applications_by_rare_skills_are_the_same(spark):
+    _, _, c, p = make(spark, 12, 100, 80, 100)
+    rows = lambda **more: Counter(tuple(r) for r in m.applications(c, p, MatchOptions(min_score=70, **more)).drop("timestamp").collect())
+    assert rows() == rows(by_rare_skills=True) and sum(rows().values()) > 20

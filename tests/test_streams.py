@@ -3,14 +3,17 @@
 import datetime as dt
 import json
 
+import pytest
+
 from harness import fixtures as fx
 from harness.queries import STREAM_PARTITIONS, topic_rows
 from talentgrid import schemas, vocab
 from talentgrid.operators.matching import MatchOptions, applications
-from talentgrid.plans.applications import stream_applications
+from talentgrid.operators.stream_plan import fit_blocks
+from talentgrid.plans.applications import batch_applications, pinned_plan, stream_applications
 from talentgrid.sinks.places import new_folder
-from talentgrid.sinks.tables import counted, parquet_batches, record_batches
-from talentgrid.sources.topics import TopicSource
+from talentgrid.sinks.tables import committed_batches, counted, parquet_batches, read_committed, record_batches
+from talentgrid.sources.topics import TopicSource, decode
 from talentgrid.streaming import jobs
 
 ONCE = {"availableNow": True}
@@ -35,8 +38,12 @@ def post(name, minute):
 
 
 def run(spark, root, out, options, *outputs):
-    own = jobs.stream_session(spark, STREAM_PARTITIONS)
-    rows = stream_applications(own, TopicSource(format="parquet", root=root), options)
+    return run_wide(spark, root, out, options, STREAM_PARTITIONS, *outputs)
+
+
+def run_wide(spark, root, out, options, partitions, *outputs):
+    own = jobs.stream_session(spark, partitions)
+    rows = stream_applications(own, TopicSource(format="parquet", root=root), options, f"{out}/checkpoint")
     query = jobs.start_outputs(rows, f"{out}/checkpoint", *outputs, trigger=ONCE)
     query.awaitTermination()
     return query
@@ -85,6 +92,7 @@ def test_bounded_state_expires_and_late_rows_are_dropped(spark):
     state = last.lastProgress["stateOperators"][0]
     # 40 candidates, each post in up to two slots and four blocks: only the newest step is left
     assert state["numRowsTotal"] <= 40 + 5 * 2 * 4
+    assert state["numRowsTotal"] > 40 + 5 * 2  # the one category is spread all the same
     step([candidate("a-late", 0)], [post("x-late", 1)])
     assert pairs() == {("a", "x"), ("b", "y"), ("c", "z")}
 
@@ -105,8 +113,6 @@ def test_bounded_stream_equals_bounded_batch(spark, sf_dir):
 
 
 def test_indicators_follow_the_stream(spark):
-    from talentgrid.sources.topics import decode
-
     root, out = new_folder(spark, "topics"), new_folder(spark, "indicators")
 
     def refresh(*statuses):
@@ -115,9 +121,106 @@ def test_indicators_follow_the_stream(spark):
         own = jobs.stream_session(spark, 2)
         stream = decode(TopicSource(format="parquet", root=root).stream(own, vocab.APPLICATION_TOPIC), schemas.APPLICATION)
         jobs.start_indicators(stream, f"{out}/table", f"{out}/checkpoint", trigger=ONCE).awaitTermination()
-        rows = jobs.read_indicators(spark, f"{out}/table").filter("kpi = 'status'").collect()
+        rows = jobs.read_indicators(spark, f"{out}/table").filter("indicator = 'status'").collect()
         return {r.key: r.n for r in rows}
 
     assert refresh("Applied", "Applied", "Rejected") == {"Applied": 2, "Rejected": 1}
     assert refresh("Applied") == {"Applied": 3, "Rejected": 1}
     assert refresh("Shortlisted") == {"Applied": 3, "Rejected": 1, "Shortlisted": 1}
+
+
+def test_restart_with_other_partitions_gives_the_batch_jobs_rows(spark):
+    """Blocks are kept with the checkpoint: old records and new ones meet whatever the session's width."""
+    root, out, options = new_folder(spark, "topics"), new_folder(spark, "out"), MatchOptions()
+    write = committed_batches(f"{out}/table")
+    parts = [([candidate(f"{name}{i}", 0) for i in range(60)], [post(f"{name}p{i}", 0) for i in range(n)]) for name, n in (("a", 2), ("b", 30))]
+    for (candidates, posts), partitions in zip(parts, (8, 64)):
+        put(spark, root, vocab.CANDIDATE_TOPIC, *candidates)
+        put(spark, root, vocab.POST_TOPIC, *posts)
+        run_wide(spark, root, out, options, partitions, write)
+    want = batch_applications(spark, TopicSource(format="parquet", root=root), options)
+    ids = lambda rows: sorted(r[0] for r in rows.select("application_id").collect())
+    assert ids(read_committed(spark, f"{out}/table")) == ids(want) and want.count() > 2000
+
+
+def test_a_changed_bound_or_a_checkpoint_without_a_plan_is_refused(spark):
+    root, out = new_folder(spark, "topics"), new_folder(spark, "out")
+    put(spark, root, vocab.CANDIDATE_TOPIC, candidate("a", 0))
+    put(spark, root, vocab.POST_TOPIC, post("p", 0))
+    source = TopicSource(format="parquet", root=root)
+    hour = MatchOptions(within=dt.timedelta(hours=1))
+    plan = pinned_plan(spark, source, f"{out}/kept", hour)
+    assert pinned_plan(spark, source, f"{out}/kept", hour) == plan
+    for options in (MatchOptions(), MatchOptions(within=dt.timedelta(hours=2))):
+        with pytest.raises(ValueError, match="time bound"):
+            pinned_plan(spark, source, f"{out}/kept", options)
+    rows = stream_applications(jobs.stream_session(spark, 2), source)
+    jobs.start_outputs(rows, f"{out}/bare", parquet_batches(f"{out}/table"), trigger=ONCE).awaitTermination()
+    with pytest.raises(ValueError, match="without a plan"):
+        pinned_plan(spark, source, f"{out}/bare")
+
+
+def test_cold_categories_are_stored_once_and_the_hot_one_is_spread():
+    cold = {f"c{i}": (100, 50) for i in range(19)}
+    blocks = fit_blocks(cold | {"hot": (10_000, 5_000)}, 400)
+    (a, b), = blocks.values()
+    assert set(blocks) == {"hot"} and a * b >= 100
+    assert 10_000 * b + 5_000 * a + 19 * 150 <= 10 * (15_000 + 19 * 150)
+    assert fit_blocks(cold, 8) == {} == fit_blocks({}, 8) == fit_blocks({"x": (5, 0)}, 8) == fit_blocks({"x": (9, 9)}, 1)
+    for partitions in (2, 7, 8, 64, 400):
+        for weights in ({"x": (40, 10)}, {"x": (1000, 1000)}, cold | {"x": (2850, 1425)}):
+            blocks = fit_blocks(weights, partitions)
+            rows = sum(c * blocks.get(k, (1, 1))[1] + p * blocks.get(k, (1, 1))[0] for k, (c, p) in weights.items())
+            assert rows <= max(1.5, partitions ** 0.5 / 2) * sum(c + p for c, p in weights.values())
+            assert "x" in blocks
+    assert fit_blocks({"x": (40, 40)}, 8, copies=3.0)["x"] in {(2, 4), (4, 2), (3, 3)}
+
+
+def test_state_of_the_registered_stream_is_small(spark, sf_dir):
+    """At most two rows of state for each record on eight partitions, skills as bits."""
+    c, p = fx.candidates(spark, sf_dir), fx.posts(spark, sf_dir).drop("continent")
+    root, out = new_folder(spark, "topics"), new_folder(spark, "out")
+    topic_rows(c, "candidate_id", vocab.CANDIDATE_TOPIC).write.parquet(f"{root}/{vocab.CANDIDATE_TOPIC}")
+    topic_rows(p, "post_id", vocab.POST_TOPIC).write.parquet(f"{root}/{vocab.POST_TOPIC}")
+    query = run(spark, root, out, MatchOptions(), committed_batches(f"{out}/table"))
+    progress = [step for step in query.recentProgress if step["stateOperators"]]
+    assert 0 < max(step["stateOperators"][0]["numRowsTotal"] for step in progress) <= 2 * (c.count() + p.count())
+
+
+def test_skills_outside_the_plans_terms_count(spark):
+    """Terms are fixed at the start; later skills go on as text, and scores and reasons are those of the batch job."""
+    root, out, options = new_folder(spark, "topics"), new_folder(spark, "out"), MatchOptions()
+    for skills in (["A", "b"], ["b", "New", "newer", "a"]):
+        put(spark, root, vocab.CANDIDATE_TOPIC, *[candidate(f"c{i}{len(skills)}", 0, skills=skills) for i in range(6)])
+        put(spark, root, vocab.POST_TOPIC, *[post(f"p{i}{len(skills)}", 0) | {"skills_needed": skills} for i in range(6)])
+        run(spark, root, out, options, committed_batches(f"{out}/table"))
+    columns = ["application_id", "compatibility_score", "match_reason", "status"]
+    rows = lambda frame: sorted(map(tuple, frame.select(*columns).collect()))
+    want = rows(batch_applications(spark, TopicSource(format="parquet", root=root), options))
+    assert rows(read_committed(spark, f"{out}/table", schemas.APPLICATION)) == want
+    assert any("new" in row[2] for row in want)
+
+
+def test_only_changed_counts_are_written_and_merged(spark):
+    root, out = new_folder(spark, "topics"), new_folder(spark, "indicators")
+    own = jobs.stream_session(spark, 2)
+
+    def refresh(*scores):
+        put(spark, root, vocab.APPLICATION_TOPIC, *[{"application_id": "x", "status": "Applied", "compatibility_score": s} for s in scores])
+        stream = decode(TopicSource(format="parquet", root=root).stream(own, vocab.APPLICATION_TOPIC), schemas.APPLICATION)
+        jobs.start_indicators(stream, f"{out}/table", f"{out}/checkpoint", trigger=ONCE, merge_every=2).awaitTermination()
+
+    for scores in ([50, 60], [50], [70, None], [50]):
+        refresh(*scores)
+    changes = read_committed(spark, f"{out}/table/changes").filter("kind = 'status'")
+    found = sorted((r.batch_id, r.score or 0, r.n) for r in changes.collect())
+    assert found == [(0, 50, 1), (0, 60, 1), (1, 50, 2), (2, 0, 1), (2, 70, 1), (3, 50, 3)]
+    merged = {r.batch_id for r in read_committed(spark, f"{out}/table/merged").collect()}
+    assert merged == {1, 3}
+    tally = {(r.kind, r.score): r.n for r in jobs.read_tally(spark, f"{out}/table").collect()}
+    assert tally == {("status", 50): 3, ("status", 60): 1, ("status", 70): 1, ("status", None): 1, ("time_band", None): 6, ("job_family", None): 6}
+    shown = {r.indicator: r.n for r in jobs.read_indicators(spark, f"{out}/table").filter("key = 'all'").collect()}
+    assert shown["total_applications"] == 6
+    mean = jobs.read_indicators(spark, f"{out}/table").filter("indicator = 'avg_match_score'").first().value
+    assert mean == 56.0
+    assert jobs.read_indicators(spark, f"{out}/nothing").filter("indicator = 'total_applications'").first().n == 0
