@@ -44,7 +44,6 @@ def operators(spark, a, p, c):
     return {
         "match_scores": lambda: matching.match_scores(c, p),
         "match_within": lambda: matching.match_scores(c, p, matching.MatchOptions(within=timedelta(hours=1))),
-        "match_at_85": lambda: matching.match_scores(c, p, matching.MatchOptions(min_score=85, by_rare_skills=True)),
         "match_reasons": lambda: matching.match_reasons(c, p),
         "applications": lambda: matching.applications(c, p),
         "kpi_report_of_match": lambda: kpi.report(matching.applications(c, p), p, c),
