@@ -372,3 +372,23 @@ def test_target_with_one_id_on_a_third_of_the_rows(spark):
     hashes = spark.createDataFrame([("b",), ("n",), ("c0",), ("c1",), ("c2",)], "w string").withColumn("h", F.expr("xxhash64(w)")).collect()
     place = {r.w: r.h % quality.BUCKETS for r in hashes}
     assert ratios[place["b"]] > 0.3 > 0 > ratios[place["n"]] and ratios[place["c0"]] > ratios[place["c1"]] == pytest.approx(ratios[place["c2"]], abs=0.2)
+
+
+def test_every_labelled_text_is_learned_from(spark):
+    """Texts of one character each, half of them a's: only who has seen a text can tell its label."""
+    rows = [(i, chr(0x4E00 + i) * 3, "ab"[zlib.crc32(b"%d" % i) >> 5 & 1]) for i in range(16_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    truth = {i: lang for i, _, lang in rows}
+    found = langid.predict(docs, langid.train(docs)).filter("NOT held_out").collect()
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in found]) >= 0.8
+
+
+def test_shards_do_not_depend_on_partitions(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    rare = docs.withColumn("lang", F.when(F.col("lang").isin("en", "de") | (F.col("doc_id") % 8 == 0), F.col("lang")))
+    one, other = (langid.train(rows, shard_grams=30_000) for rows in (rare, rare.repartition(7)))
+    for name in ("idf", "weights", "bias", "familiar", "temperature", "most_strange"):
+        assert np.array_equal(getattr(one, name), getattr(other, name))
+    right = {r.doc_id: r.lang for r in docs.collect()}
+    held = [r for r in langid.predict(docs, one).collect() if r.held_out]
+    assert np.mean([r.lang_pred == right[r.doc_id] for r in held]) >= 0.95
