@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -18,6 +19,9 @@ from talentgrid.streaming.jobs import start_outputs
 
 #: how rows are packed as JSON and unpacked, without loss
 JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+#: lists that the keys of a stream are kept in: a call for a list costs about a millisecond, so few are better for large
+#: micro-batches and many for small ones into a table of very many keys
+KEY_BUCKETS = 1 << 16
 
 
 def new_key_batches(path: str, schema: T.StructType, key: str, *order: str) -> BatchWriter:
@@ -41,35 +45,40 @@ def new_key_batches(path: str, schema: T.StructType, key: str, *order: str) -> B
     return run
 
 
-def _mark_first(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """All records of a key, the least one marked if no earlier micro-batch has brought the key.
+def _mark_first(bucket: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """All records of a bucket of keys, the least one of each key marked that no earlier micro-batch has brought.
 
-    One record is held back at a time, however many there are.  The state is a mark.
+    One record of each new key is held back, however many there are.  The state is the list of keys, as JSON.
     """
-    held, place = None, None
-    counts = not pd.isna(key[0]) and not state.exists
+    seen = json.loads(state.get[0]) if state.exists else []
+    known, held = set(seen), {}
     for rows in frames:
-        records = rows["record"].to_numpy(object, copy=True)
-        if counts:
-            orders = list(zip(*[rows[name] for name in rows.columns[3:]]))
-            at = min(range(len(orders)), key=orders.__getitem__)
-            if place is None or orders[at] < place:
-                place, held, records[at] = orders[at], records[at], held
-            records = records[[record is not None for record in records]]
-        if len(records):
-            yield pd.DataFrame({"record": records, "first": np.zeros(len(records), bool)})
-    if held is not None:
-        state.update((True,))
-        yield pd.DataFrame({"record": [held], "first": [True]})
-
-
-def mark_first_records(rows: DataFrame, key: str, *order: str) -> DataFrame:
+        free = []
+        orders = zip(*[rows[name].tolist() for name in rows.columns[3:]])
+        for key, record, place in zip(rows["key"].tolist(), rows["record"].tolist(), orders):
+            if key is None or key in known:
+                free.append(record)
+                continue
+            least = held.get(key)
+            if least is None or place < least[0]:
+                held[key], record = (place, record), least and least[1]
+            if record is not None:
+                free.append(record)
+        if free:
+            yield pd.DataFrame({"record": free, "first": np.zeros(len(free), bool)})
+    if held:
+        state.update((json.dumps([*seen, *held]),))
+        yield pd.DataFrame({"record": [record for _, record in held.values()], "first": np.ones(len(held), bool)})
+
+
+def mark_first_records(rows: DataFrame, key: str, *order: str, buckets: int = KEY_BUCKETS) -> DataFrame:
     """All records of a stream with ``first``: true for one record of each key, in the micro-batch that brings the key.
 
     Of a micro-batch's records of one key the first by ``order`` (numbers or times, NULL first) counts,
-    of equal ones that with the least hash, as in :func:`first_per_key`.  Keys that have been seen are marks
-    in the state store, so a micro-batch costs what its own records cost, however large the
-    table has become.  Records without a key are never marked.
+    of equal ones that with the least hash, as in :func:`first_per_key`.  Keys that have been seen are
+    in the state store, in ``buckets`` lists by hash, a number that is fixed for the query's life.  A micro-batch reads and
+    writes the lists of its own keys, so nothing of the table; there is one Python call a list.
+    Records without a key are never marked.
     """
     others = [name for name in rows.columns if name != key]
     kinds, lowest = dict(rows.dtypes), F.lit(-(1 << 63))
@@ -79,13 +88,15 @@ def mark_first_records(rows: DataFrame, key: str, *order: str) -> DataFrame:
         return F.coalesce(value, lowest)
 
     digest = F.xxhash64(*others)
+    text = F.hex(key) if kinds[key] == "binary" else F.col(key).cast("string")
+    part = F.when(F.col(key).isNull(), digest).otherwise(F.xxhash64(text))  # records without a key spread
     packed = rows.select(
-        F.col(key).alias("key"), F.when(F.col(key).isNull(), digest).alias("part"),  # records without a key spread
+        F.pmod(part, F.lit(buckets)).cast("int").alias("bucket"), text.alias("key"),
         F.to_json(F.struct("*"), JSON).alias("record"),
         *[place(name).alias(f"order{at}") for at, name in enumerate(order)], digest.alias("hash"),
     )
-    marked = packed.groupBy("key", "part").applyInPandasWithState(
-        _mark_first, "record string, first boolean", "seen boolean", "append", GroupStateTimeout.NoTimeout
+    marked = packed.groupBy("bucket").applyInPandasWithState(
+        _mark_first, "record string, first boolean", "seen string", "append", GroupStateTimeout.NoTimeout
     )
     return marked.select(F.from_json("record", rows.schema, JSON).alias("row"), "first").select("row.*", "first")
 
