@@ -6,6 +6,7 @@ import pytest
 
 from harness import fixtures as fx
 from harness.queries import QUERIES
+from talentgrid import vocab
 from talentgrid.operators import kpi, matching
 from talentgrid.operators.families import with_family
 
@@ -49,6 +50,17 @@ def test_pair_join_has_its_own_width_and_no_second_shuffle(spark, sf_dir):
     assert "SortMergeJoin" in text
 
 
+def test_a_pair_is_a_step_of_a_loop_and_scored_once(spark, sf_dir):
+    c, p = fx.candidates(spark, sf_dir), fx.posts(spark, sf_dir)
+    applied = matching.chances(c, p).filter(matching.should_apply())
+    text = plan(applied.groupBy("apply_probability", "job_post_family_group").count())
+    assert text.count(f"* {float(vocab.SALARY_ABOVE[0])})") == 1
+    nodes = re.findall(r"^[-+: ]*(?:\*\(\d+\) )?(\w+)", text.split("\n\n")[0], re.M)
+    loop = nodes.index("Generate")
+    # joins with families and skill terms take a row for each candidate and cell, so they come before the loop
+    assert "SortMergeJoin" in nodes[loop:] and not any("Join" in node for node in nodes[:loop])
+
+
 def test_mapping_is_broadcast(spark, sf_dir):
     text = plan(with_family(fx.candidates(spark, sf_dir), "job_category", "family"))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
