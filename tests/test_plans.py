@@ -3,10 +3,12 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from harness import fixtures as fx
 from harness.queries import QUERIES
 from talentgrid import vocab
+from talentgrid.functions import scoring
 from talentgrid.operators import kpi, matching
 from talentgrid.operators.families import with_family
 
@@ -61,6 +63,26 @@ def test_a_pair_is_a_step_of_a_loop_and_scored_once(spark, sf_dir):
     assert "SortMergeJoin" in nodes[loop:] and not any("Join" in node for node in nodes[:loop])
 
 
+def test_a_moment_asks_no_rules_of_a_zone_without_any(spark):
+    days = spark.range(0, 400).select(
+        F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("posted_on"),
+        (F.col("id") % 30).cast("int").alias("day"), (F.col("id") % 17 / 17).alias("draw"),
+    )
+    moments = lambda: days.select(
+        scoring.application_moment(F.col("posted_on"), F.col("day"), F.col("draw")).alias("moment"),
+        F.timestamp_seconds(
+            F.unix_seconds(F.date_add("posted_on", F.col("day")).cast("timestamp")) + (F.col("draw") * 86400).cast("int")
+        ).alias("wanted"),
+    )
+    assert "as timestamp" not in plan(moments().select("moment"))
+    for zone in ("UTC", "Europe/Berlin", "Asia/Kolkata"):  # the first and the last have no summer time
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            assert moments().filter(~F.col("moment").eqNullSafe(F.col("wanted"))).count() == 0
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_mapping_is_broadcast(spark, sf_dir):
     text = plan(with_family(fx.candidates(spark, sf_dir), "job_category", "family"))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
