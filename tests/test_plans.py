@@ -83,6 +83,11 @@ def test_a_moment_asks_no_rules_of_a_zone_without_any(spark):
             spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_tally_counts_applications_before_it_parts_them_by_indicator(spark, sf_dir):
+    nodes = plan(kpi.application_tally(fx.application_events(spark, sf_dir))).split("\n\n")[0]
+    assert "HashAggregate" in nodes.split("Generate")[1]
+
+
 def test_mapping_is_broadcast(spark, sf_dir):
     text = plan(with_family(fx.candidates(spark, sf_dir), "job_category", "family"))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
