@@ -184,3 +184,26 @@ def test_applications_by_rare_skills_are_the_same(spark):
     _, _, c, p = make(spark, 12, 100, 80, 100)
     rows = lambda **more: Counter(tuple(r) for r in m.applications(c, p, MatchOptions(min_score=70, **more)).drop("timestamp").collect())
     assert rows() == rows(by_rare_skills=True) and sum(rows().values()) > 20
+
+
+def _explained(rows):
+    return rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_pair_is_scored_before_its_families_unfold(spark, sf_dir):
+    from harness import fixtures as fx
+
+    c, p = fx.candidates(spark, sf_dir), fx.posts(spark, sf_dir)
+    for options in (MatchOptions(), MatchOptions(distinct_pairs=True), MatchOptions(random_seed=3)):
+        plan = _explained(m.applications(c, p, options))
+        assert plan.count("bit_count") >= 1 and "inline(families" in plan
+        # operators stand above what they read: the families unfold above the score, the posts below it
+        assert plan.index("inline(families") < plan.index("FLOOR(") < plan.index("explode(posts")
+
+
+def test_single_records_build_no_array_of_copies(spark):
+    cs, ps, c, p = make(spark, 9, 40, 30)
+    rows = m.match_scores(c, p)
+    assert _explained(rows).count("copies#") > 0 and _explained(rows).count("ELSE sequence(1, ") == 2
+    got = Counter((r.candidate_id, r.post_id) for r in rows.collect())
+    assert got == Counter(row[:2] for row in brute(cs, ps)) and max(got.values()) > 500
