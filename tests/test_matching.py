@@ -207,3 +207,12 @@ def test_single_records_build_no_array_of_copies(spark):
     assert _explained(rows).count("copies#") > 0 and _explained(rows).count("ELSE sequence(1, ") == 2
     got = Counter((r.candidate_id, r.post_id) for r in rows.collect())
     assert got == Counter(row[:2] for row in brute(cs, ps)) and max(got.values()) > 500
+
+
+def test_no_application_row_is_made_twice_for_the_distinct_count(spark, sf_dir, tmp_path):
+    from harness.queries import QUERIES
+
+    rows = QUERIES["processing_time"](spark, sf_dir)
+    found = rows.first()
+    assert found.times == 1 and found.applications == QUERIES["applications"](spark, sf_dir).count()
+    assert "Expand" not in _explained(rows) and rows.dtypes == [("times", "bigint"), ("applications", "bigint")]
