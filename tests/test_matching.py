@@ -225,3 +225,34 @@ def test_many_tasks_copy_records_less_often(spark):
     copies = 20 * (45_000 * -(-60_000 // grid.block_rows) + 60_000 * -(-45_000 // grid.block_rows))
     assert grid.partitions == 2700 and grid.copies <= m.MANY_COPIES
     assert copies < 17 * 2_100_000 and grid.block_rows**2 < m.TASK_PAIRS
+
+
+def test_blocks_are_gathered_before_they_are_copied(spark):
+    cs, ps, c, p = make(spark, 10, 300, 200, 400)  # more skills than bits, records with copies
+    have, need, key = m.prepare_candidates(c).drop("c_time"), m.prepare_posts(p).drop("p_time"), ["category"]
+    weights = m._weigh(have, need)
+    terms, (grid, plan) = m._terms_table(spark, weights), m._given_plan(spark, weights, MatchOptions(block_rows=16))
+    assert grid.copies >= m.PACKED_COPIES
+    for side, records in (("c", have), ("p", need)):
+        rows = [
+            place(records, side, plan, terms, key, grid) for place in (m._packed, m._placed)
+        ]
+        names = sorted(rows[0].columns)
+        assert names == sorted(rows[1].columns)
+        packed, placed = (Counter(str(tuple(r)) for r in table.select(*names).collect()) for table in rows)
+        assert packed == placed and sum(packed.values()) > 1000
+    scored = _explained(m.match_scores(c, p, MatchOptions(block_rows=16)))
+    # what is copied and shuffled are arrays of a block
+    assert scored.count("inline(arrays_zip(") == 2 and scored.count("explode(sequence(0, (others") == 2
+
+
+@pytest.mark.parametrize("pool", [5, 20, 400])
+def test_reasons_come_from_parts_made_once_a_category(spark, pool):
+    cs, ps, c, p = make(spark, 14, 70, 60, pool)
+    for options in (MatchOptions(), MatchOptions(block_rows=8)):
+        rows = m.match_reasons(c, p, options)
+        assert _explained(rows).count("concat_ws(, , ") == 0  # no list of names for each pair
+        want = Counter((row[0], row[1], row[3]) for row in brute(cs, ps))
+        assert Counter(tuple(r) for r in rows.collect()) == want
+    texts = {key[2] for key in want}
+    assert len({text.split("; ", 1)[0] for text in texts}) == 1 and len(texts) > 3
