@@ -256,3 +256,20 @@ def test_reasons_come_from_parts_made_once_a_category(spark, pool):
         assert Counter(tuple(r) for r in rows.collect()) == want
     texts = {key[2] for key in want}
     assert len({text.split("; ", 1)[0] for text in texts}) == 1 and len(texts) > 3
+
+
+@pytest.mark.parametrize("min_score", [60, 70, 85])
+def test_common_skills_try_no_more_pairs_than_the_plain_way(spark, min_score, monkeypatch):
+    cs, ps, c, p = make(spark, 15, 200, 150, 12)
+    options = MatchOptions(min_score=min_score, by_rare_skills=True)
+    counts = m.pairs_tried(c, p, options).first()
+    assert 0 < counts.by_rare_skills <= counts.every
+    have, need = m.prepare_candidates(c).drop("c_time"), m.prepare_posts(p).drop("p_time")
+    _, rows, _ = m._by_rare_skills(have, need, options)
+    assert min_score > 70 or rows.filter(F.col("term") == m.ANY_SKILL).count() > 0
+    assert rows.groupBy("post_id", "class").count().agg(F.count("*")).first()[0] <= 8 * 151  # before: a row for each rank and year
+    want = Counter(row[:3] for row in brute(cs, ps, min_score))
+    for few in (m.FEW_KEYS, 1):  # the second counts the keys again and leaves the join to Catalyst
+        monkeypatch.setattr(m, "FEW_KEYS", few)
+        got = Counter((r.candidate_id, r.post_id, r.compatibility_score) for r in m.match_scores(c, p, options).collect())
+        assert got == want and len(want) > 20
