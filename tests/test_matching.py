@@ -273,3 +273,54 @@ def test_common_skills_try_no_more_pairs_than_the_plain_way(spark, min_score, mo
         monkeypatch.setattr(m, "FEW_KEYS", few)
         got = Counter((r.candidate_id, r.post_id, r.compatibility_score) for r in m.match_scores(c, p, options).collect())
         assert got == want and len(want) > 20
+
+
+@pytest.mark.parametrize("options", [MatchOptions(), MatchOptions(block_rows=8, partitions=5), MatchOptions(distinct_pairs=True, block_rows=16)])
+def test_codes_stand_for_the_texts_of_applications(spark, options):
+    _, _, c, p = make(spark, 16, 90, 70)  # one candidate and one post many times over
+    c = c.unionAll(c.limit(1).withColumn("seniority", F.lit("vp")))
+    p = p.unionAll(p.limit(20).withColumn("salary", F.lit(70000.0)))  # other records of the same posts
+    plain = m.applications(c, p, options)
+    rows = m.applications(c, p, options, coded=True)
+    assert rows.columns[: len(plain.columns)] == plain.columns
+    lists = m.codes(options)
+    for text, (code, texts) in lists.items():
+        got = rows.groupBy(text, code).count().collect()
+        assert len(got) > 1 and all(texts[row[code]] == row[text] for row in got)
+    named = m.post_codes(c, p, options)
+    assert named.groupBy("post_code").count().filter("count > 1").isEmpty()
+    renamed = rows.join(named.withColumnRenamed("post_id", "named"), "post_code", "left")
+    assert renamed.filter("NOT post_id <=> named").isEmpty()
+    count = lambda table: Counter(tuple(r) for r in table.select(*plain.columns).drop("timestamp").collect())
+    assert count(plain) == count(rows) and sum(count(rows).values()) > 500
+    for other in (MatchOptions(within=dt.timedelta(hours=1)), MatchOptions(by_rare_skills=True)):
+        with pytest.raises(ValueError):
+            m.applications(c, p, other, coded=True)
+
+
+def test_counts_of_applications_group_by_numbers_in_the_pair_loop(spark, sf_dir):
+    from harness.queries import QUERIES
+
+    keys = {
+        "application_times": "[post_code#", "status_by_tier": "[compatibility_score#", "thinning_rate": "[compatibility_score#",
+        "kpi_report_of_match": "[band#",
+    }
+    for name, key in keys.items():
+        plan = _explained(QUERIES[name](spark, sf_dir))
+        loop = plan[: plan.index("explode(posts")]  # operators stand above what they read
+        group = [line for line in loop.split("\n") if "Aggregate [" in line][-1]
+        assert f"Aggregate {key}" in group, name
+        names = {key.split("#")[0] for key in group.split("Aggregate [")[1].split("]")[0].split(", ")}
+        assert not {"post_id", "tier", "apply_probability", "job_post_family_group"} & names
+        assert "Rejected" not in loop.split(group)[1]  # no text of a status before they are counted
+
+
+def test_a_draw_is_below_its_share_where_its_fraction_is(spark):
+    from talentgrid.functions import draws, scoring
+
+    for share in (0.0, 0.2, 0.5, 0.8, 1.0, 1 / 3):
+        least = draws.least_draw(share)
+        near = [d for d in range(least - 3, least + 4) if 0 <= d < draws.DRAW_PRIME]
+        assert [d < least for d in near] == [d / float(draws.DRAW_PRIME) < share for d in near]
+    rows = spark.range(101).select(scoring.apply_probability(F.col("id")).alias("p"), scoring.apply_below(F.col("id"), draws.least_draw).alias("d"))
+    assert all(row.d == draws.least_draw(row.p) for row in rows.collect())
