@@ -205,3 +205,18 @@ def test_dimensions_have_the_published_sizes(spark):
     register(spark)
     assert spark.sql("SELECT count(DISTINCT family_group) FROM category_family").first()[0] == 14
     assert spark.sql("SELECT count(DISTINCT country) FROM country_language").first()[0] == len(vocab.COUNTRY_LANGUAGES)
+
+
+def test_time_bands_of_any_zone(spark):
+    moments = spark.range(-400, 400).select(F.timestamp_seconds(F.col("id") * 4321 + 1711846800).alias("t")).unionAll(
+        spark.range(-50, 50).select(F.timestamp_micros(F.col("id") * 3_600_000_007))  # also before 1970
+    )
+    for zone in ("UTC", "Europe/Berlin", "Asia/Kolkata"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            wrong = moments.filter(bands.time_band_index(F.col("t")) != F.floor(F.hour("t") / 3))
+            assert wrong.isEmpty()
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    plan = moments.select(bands.time_band_index(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "hour(" not in plan
