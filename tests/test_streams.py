@@ -224,3 +224,87 @@ def test_only_changed_counts_are_written_and_merged(spark):
     mean = jobs.read_indicators(spark, f"{out}/table").filter("indicator = 'avg_match_score'").first().value
     assert mean == 56.0
     assert jobs.read_indicators(spark, f"{out}/nothing").filter("indicator = 'total_applications'").first().n == 0
+
+
+def test_records_of_a_batch_are_gathered_by_key(spark):
+    from pyspark.sql import functions as F
+
+    from talentgrid.operators.gathering import by_key
+
+    rows = spark.range(0, 500, 1, 3).selectExpr(
+        "concat('k', id % 7) AS k", "cast(id % 2 AS int) AS b", "if(id % 5 = 0, null, id) AS n", "date_add(date'2024-01-01', cast(id AS int)) AS d",
+        "if(id % 3 = 0, null, array('x', null, cast(id AS string))) AS words", "id * 0.5D AS pay",
+    )
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+    try:
+        chunks = by_key(rows, ["k", "b"], ["pay", "n", "words", "d"])
+        sizes = [r[0] for r in chunks.select(F.size("records")).collect()]
+        back = chunks.select("k", "b", F.inline("records")).select(*rows.columns)
+        assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
+        assert by_key(rows.filter("pay < 0"), ["k"], ["n"]).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert max(sizes) <= 40 and len(sizes) <= 14 * 15
+
+
+def test_cells_of_a_stream_go_to_partitions_evenly(spark):
+    from pyspark.sql import functions as F
+
+    from talentgrid.operators.stream_plan import fit_places
+
+    weights = {f"c{i}": (100, 50) for i in range(14)} | {"hot": (2000, 1000), "alone": (10, 0)}
+    for partitions in (1, 8, 40):
+        blocks = fit_blocks(weights, partitions)
+        places = fit_places(spark, weights, blocks, partitions)
+        assert set(places) == set(weights) - {"alone"}
+        cells = []
+        for name, numbers in places.items():
+            a, b = blocks.get(name, (1, 1))
+            assert len(numbers) == a * b
+            pairs = weights[name][0] * weights[name][1] / (a * b)
+            cells += [(name, at // b, at % b, place, pairs) for at, place in enumerate(numbers)]
+        rows = spark.createDataFrame(cells, "category string, c_block int, p_block int, place int, pairs double")
+        at = F.pmod(F.hash("category", "c_block", "p_block", "place"), F.lit(partitions))
+        loads = [r.n for r in rows.groupBy(at.alias("at")).agg(F.sum("pairs").alias("n")).collect()]
+        assert max(loads) <= sum(loads) / partitions + max(cell[-1] for cell in cells)
+    assert fit_places(spark, {}, {}, 8) == {}
+
+
+def test_stored_cells_lie_where_the_plan_puts_them(spark, sf_dir):
+    """Twenty categories on eight partitions: two cells each at most, and few rows of state for all records."""
+    from pyspark.sql import functions as F
+
+    c, p = fx.candidates(spark, sf_dir), fx.posts(spark, sf_dir).drop("continent")
+    root, out = new_folder(spark, "topics"), new_folder(spark, "out")
+    topic_rows(c, "candidate_id", vocab.CANDIDATE_TOPIC).coalesce(1).write.parquet(f"{root}/{vocab.CANDIDATE_TOPIC}")
+    topic_rows(p, "post_id", vocab.POST_TOPIC).coalesce(1).write.parquet(f"{root}/{vocab.POST_TOPIC}")
+    seen = []
+
+    def write(batch, batch_id):
+        at = F.spark_partition_id().alias("at")
+        known = batch.join(F.broadcast(c.select("candidate_id", "job_category")), "candidate_id").select(at, "job_category").distinct()
+        seen.extend((r.at, r.job_category) for r in known.collect())
+
+    query = run(spark, root, out, MatchOptions(), write)
+    state = max(step["stateOperators"][0]["numRowsTotal"] for step in query.recentProgress if step["stateOperators"])
+    mapped = {category for members in vocab.FAMILY_CATEGORIES.values() for category in members}
+    assert 0 < state <= 2 * len(mapped)  # before: one row for each record
+    most = max(sum(1 for at, _ in set(seen) if at == n) for n in range(STREAM_PARTITIONS))
+    assert 0 < most <= -(-len({name for _, name in seen}) // STREAM_PARTITIONS) + 1
+
+
+def test_a_plan_of_the_earlier_form_goes_on_record_by_record(spark):
+    from talentgrid.operators.stream_plan import StreamPlan, load_plan
+
+    root, out = new_folder(spark, "topics"), new_folder(spark, "out")
+    put(spark, root, vocab.CANDIDATE_TOPIC, *[candidate(f"c{i}", 0) for i in range(30)])
+    put(spark, root, vocab.POST_TOPIC, *[post(f"p{i}", 0) for i in range(20)])
+    names = "category string, c_blocks int, p_blocks int, terms array<string>, within bigint"
+    rows = [("Human Resources", 2, 2, None, None), (None, 1, 1, None, None)]
+    spark.createDataFrame(rows, names).coalesce(1).write.parquet(f"{out}/checkpoint/match_plan")
+    assert load_plan(spark, f"{out}/checkpoint/match_plan") == StreamPlan({"Human Resources": (2, 2)})
+    query = run(spark, root, out, MatchOptions(), committed_batches(f"{out}/table"))
+    assert max(s["stateOperators"][0]["numRowsTotal"] for s in query.recentProgress if s["stateOperators"]) == 2 * 50
+    want = batch_applications(spark, TopicSource(format="parquet", root=root), MatchOptions())
+    ids = lambda frame: sorted(r[0] for r in frame.select("application_id").collect())
+    assert ids(read_committed(spark, f"{out}/table")) == ids(want) and want.count() > 100
